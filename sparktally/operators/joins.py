@@ -1,13 +1,13 @@
 """Joins of records with records, and of facts with lookups.
 
-No side carries a broadcast hint: Spark broadcasts a side only below its size threshold,
-as estimated or as measured at run time, and otherwise joins by sort-merge, where adaptive
-execution splits the partition of a hot key.
+Only the rows of a top-k carry a broadcast hint, since k bounds them. Elsewhere Spark
+broadcasts a side only below its size threshold, as estimated or as measured at run time,
+and otherwise joins by sort-merge, where adaptive execution splits the partition of a hot key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,7 @@ def total_by_lookup(
     value: Column | str,
     total: str = "total",
     how: str = "inner",
+    add: Callable[[Column], Column] = F.sum,
 ) -> DataFrame:
     """Total ``value`` grouped by columns of a lookup table.
 
@@ -39,7 +40,7 @@ def total_by_lookup(
     so a hot key is gone before it meets the join, and the join itself needs no further
     shuffle of the facts. Sums of sums are sums, so the result is that of joining first.
     """
-    per_key = total_by(facts, [on], value, total)
+    per_key = total_by(facts, [on], value, total, add)
     return total_by(per_key.join(lookup, on, how), by, total, total)
 
 
@@ -56,6 +57,15 @@ def count_by_lookup(
     return total_by(per_key.join(lookup, on, how), by, count, count)
 
 
+def complete_few(few: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+    """The rows of a top-k with the columns of a lookup table that has one row per key.
+
+    The k rows are broadcast, so the lookup table is scanned in place and not shuffled. The
+    result has at most k rows again and can be completed from the next table.
+    """
+    return F.broadcast(few).join(lookup, on)
+
+
 def count_with_names(
     facts: DataFrame, names: DataFrame, key: str, name: str, count: str = "count"
 ) -> DataFrame:

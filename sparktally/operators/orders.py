@@ -1,42 +1,56 @@
-"""Reports over order lines."""
+"""Reports over order lines with typed ``sales``, ``quantity`` and ``profit``.
+
+A value that was not a number is NULL in the input and counts as 0 in totals.
+"""
 
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktally.constants import TOP_ROWS
 from sparktally.functions.dates import parse_short_date, sortable_date
-from sparktally.functions.numbers import number_or_zero, truncated
+from sparktally.functions.numbers import truncated
 from sparktally.operators.aggregates import distinct_and_totals_by, total_by
 from sparktally.operators.ordering import sort_rows, top_k
 
-AMOUNT = "decimal(18,4)"
+
+def or_zero(name: str) -> Column:
+    return F.coalesce(name, F.lit(0))
 
 
-def amount(sales: str = "sales", quantity: str = "quantity") -> Column:
-    """``sales * quantity``; a value that is not a number counts as 0."""
-    return number_or_zero(sales, AMOUNT) * number_or_zero(quantity, "int")
+def amount() -> Column:
+    return or_zero("sales") * or_zero("quantity")
 
 
-def profit_by(lines: DataFrame, keys: Sequence[str], profit: str = "profit") -> DataFrame:
-    return total_by(lines, keys, number_or_zero(profit, AMOUNT), "profit")
+def profit_by(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return total_by(lines, keys, or_zero("profit"), "profit")
 
 
-def sales_by(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return total_by(lines, keys, amount(), "sales_amount")
+def sales_by(
+    lines: DataFrame,
+    keys: Sequence[str],
+    value: Column | str | None = None,
+    add: Callable[[Column], Column] = F.sum,
+) -> DataFrame:
+    """Sales amount per group; ``value`` is the amount of a line if not sales times quantity."""
+    return total_by(lines, keys, amount() if value is None else value, "sales_amount", add)
 
 
-def order_products(lines: DataFrame, order: str = "order_id", item: str = "product_id") -> DataFrame:
-    """Distinct products, total quantity and total sales amount of each order."""
+def order_products(
+    lines: DataFrame,
+    value: Column | None = None,
+    add: Callable[[Column], Column] = F.sum,
+) -> DataFrame:
+    """Distinct products, total quantity and sales amount of each order."""
     totals = {
-        "total_quantity": number_or_zero("quantity", "int").cast("bigint"),
-        "sales_amount": amount(),
+        "total_quantity": F.sum(or_zero("quantity").cast("bigint")),
+        "sales_amount": add(amount() if value is None else value),
     }
-    return distinct_and_totals_by(lines, [order], item, "distinct_products", totals)
+    return distinct_and_totals_by(lines, ["order_id"], "product_id", "distinct_products", totals)
 
 
 def with_parsed_date(

@@ -57,8 +57,8 @@ best AS (
 """
 
 SORTED_LINES = """
-SELECT order_id, line_number, product_id, supplier_id, sales::DOUBLE AS sales, quantity,
-       discount::DOUBLE AS discount, customer_id, order_date,
+SELECT order_id, line_number, product_id, supplier_id, sales::DOUBLE AS sales,
+       quantity::DOUBLE AS quantity, discount::DOUBLE AS discount, customer_id, order_date,
        strftime(order_date, '%Y/%m/%d') AS sortable_date
 FROM superstore
 """
@@ -158,7 +158,8 @@ SELECT customer_id, min(customer_name) AS customer_name FROM superstore GROUP BY
     "topk_profit": f"""
 WITH {SUPERSTORE}, {TOP_PROFITS}
 SELECT rank, order_id, line_number, product_id, supplier_id, sales::DOUBLE AS sales,
-       customer_id, customer_name, state, category, order_date, quantity,
+       customer_id, customer_name, state, category, order_date,
+       quantity::DOUBLE AS quantity,
        profit::DOUBLE AS profit
 FROM best
 WHERE rank <= 10

@@ -1,6 +1,7 @@
 """One query per report, over the tables of a folder.
 
-Totals of exact decimals are returned as doubles. Where a lookup table is needed only for
+Amounts are computed as whole numbers of their smallest unit, which is exact whatever
+the order of the rows, and returned as doubles. Where a lookup table is needed only for
 grouping, facts are totalled per key before they meet it; where a top-k needs it only for
 display, the k rows are picked first.
 """
@@ -12,15 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparktally.functions.numbers import exact_amount, scaled, unscaled, wide_sum
 from sparktally.operators import listings, orders, transit, trips, words
-from sparktally.operators.aggregates import (
-    distinct_key_values,
-    key_values,
-    one_value_by,
+from sparktally.operators.aggregates import distinct_key_values, key_values, one_value_by
+from sparktally.operators.joins import (
+    complete_few,
+    count_by_lookup,
+    join_records,
+    total_by_lookup,
 )
-from sparktally.operators.joins import count_by_lookup, join_records, total_by_lookup
 from sparktally.plans import statements
-from sparktally.plans.tables import LINE_KEY, Tables
+from sparktally.plans.tables import AMOUNT_DIGITS, LINE_DIGITS, LINE_KEY, Tables, line_amount
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,8 +34,8 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
     return build
 
 
-def as_double(rows: DataFrame, *names: str) -> DataFrame:
-    return rows.withColumns({name: F.col(name).cast("double") for name in names})
+def in_currency(rows: DataFrame, name: str, digits: int) -> DataFrame:
+    return rows.withColumn(name, unscaled(name, digits))
 
 
 # Words.
@@ -70,26 +73,32 @@ def profit_by_customer(tables: Tables) -> DataFrame:
         by=["customer_id"],
         value="profit",
         total="profit",
+        add=wide_sum,
     )
-    return as_double(totals, "profit")
+    return in_currency(totals, "profit", LINE_DIGITS)
 
 
 @query
 def customer_profit_rows(tables: Tables) -> DataFrame:
     lines = tables.profitable_lines().join(tables.orders(), "order_id")
-    return as_double(key_values(lines, "customer_id", "profit", LINE_KEY), "profit")
+    return in_currency(
+        key_values(lines, "customer_id", "profit", LINE_KEY), "profit", LINE_DIGITS
+    )
 
 
 @query
 def customer_profit_distinct(tables: Tables) -> DataFrame:
     lines = tables.profitable_lines().join(tables.orders(), "order_id")
-    return as_double(distinct_key_values(lines, "customer_id", "profit"), "profit")
+    return in_currency(
+        distinct_key_values(lines, "customer_id", "profit"), "profit", LINE_DIGITS
+    )
 
 
 @query
 def sales_by_date_category(tables: Tables) -> DataFrame:
-    lines = tables.categorized_lines().join(tables.orders(), "order_id")
-    return as_double(orders.sales_by(lines, ["order_date", "category"]), "sales_amount")
+    lines = tables.categorized_amounts().join(tables.orders(), "order_id")
+    totals = orders.sales_by(lines, ["order_date", "category"], "amount", wide_sum)
+    return in_currency(totals, "sales_amount", AMOUNT_DIGITS)
 
 
 @query
@@ -99,15 +108,17 @@ def sales_by_date_state(tables: Tables) -> DataFrame:
         tables.orders().join(tables.states(), "customer_id"),
         on="order_id",
         by=["order_date", "state"],
-        value=orders.amount(),
+        value=line_amount(),
         total="sales_amount",
+        add=wide_sum,
     )
-    return as_double(totals, "sales_amount")
+    return in_currency(totals, "sales_amount", AMOUNT_DIGITS)
 
 
 @query
 def order_distinct_products(tables: Tables) -> DataFrame:
-    return as_double(orders.order_products(tables.lines()), "sales_amount")
+    totals = orders.order_products(tables.lines(), line_amount(), wide_sum)
+    return in_currency(totals, "sales_amount", AMOUNT_DIGITS)
 
 
 @query
@@ -120,17 +131,22 @@ def distinct_customers(tables: Tables) -> DataFrame:
 
 @query
 def topk_profit(tables: Tables) -> DataFrame:
-    best = orders.top_profits(tables.profitable_lines(), LINE_KEY, rank="rank")
-    customers = tables.states()
-    rows = best.join(tables.orders(), "order_id").join(customers, "customer_id")
+    rows = complete_few(top_lines(tables), tables.orders(), "order_id")
+    rows = complete_few(rows, tables.customers(), "customer_id")
+    rows = complete_few(rows, tables.nations(), "nation_id")
     columns = ["rank", *LINE_KEY, "customer_id", "customer_name", "state", "category"]
-    return as_double(rows.select(*columns, "order_date", "quantity", "profit"), "sales", "profit")
+    return rows.select(*columns, "order_date", "quantity", "profit")
 
 
 @query
 def topk_clients(tables: Tables) -> DataFrame:
+    rows = complete_few(top_lines(tables), tables.orders(), "order_id")
+    return orders.whole_profits(rows, "rank")
+
+
+def top_lines(tables: Tables) -> DataFrame:
     best = orders.top_profits(tables.profitable_lines(), LINE_KEY, rank="rank")
-    return orders.whole_profits(best.join(tables.orders(), "order_id"), "rank")
+    return in_currency(best, "profit", LINE_DIGITS)
 
 
 @query
@@ -145,8 +161,7 @@ def sort_by_date_desc(tables: Tables) -> DataFrame:
 
 def date_sorted_lines(tables: Tables, descending: bool = False) -> DataFrame:
     dates = tables.dated_orders().select("order_id", "customer_id", "order_date")
-    rows = tables.lines().join(dates, "order_id")
-    return as_double(orders.sort_by_date(rows, LINE_KEY, descending), "sales", "discount")
+    return orders.sort_by_date(tables.lines().join(dates, "order_id"), LINE_KEY, descending)
 
 
 # Customers and orders.
@@ -165,9 +180,10 @@ def customer_order_total(tables: Tables) -> DataFrame:
         tables.customers(),
         on="customer_id",
         by=["customer_id", "customer_name"],
-        value="total_price",
+        value=scaled("total_price"),
+        add=wide_sum,
     )
-    return as_double(totals, "total")
+    return in_currency(totals, "total", AMOUNT_DIGITS)
 
 
 # Transit.
@@ -281,19 +297,23 @@ def neighbourhood_centroid(tables: Tables) -> DataFrame:
 
 @query
 def sql_sales_by_date_state(tables: Tables) -> DataFrame:
-    lines = tables.lines().join(tables.orders(), "order_id").join(tables.states(), "customer_id")
-    return as_double(statements.sales_by_date_state(lines), "sales_amount")
+    lines = tables.decimal_lines().join(tables.orders(), "order_id")
+    return with_double(
+        statements.sales_by_date_state(lines.join(tables.states(), "customer_id")), "sales_amount"
+    )
 
 
 @query
 def sql_sales_by_date_category(tables: Tables) -> DataFrame:
-    lines = tables.categorized_lines().join(tables.orders(), "order_id")
-    return as_double(statements.sales_by_date_category(lines), "sales_amount")
+    lines = tables.decimal_lines().join(tables.products(), "product_id")
+    return with_double(
+        statements.sales_by_date_category(lines.join(tables.orders(), "order_id")), "sales_amount"
+    )
 
 
 @query
 def sql_order_products(tables: Tables) -> DataFrame:
-    return as_double(statements.order_products(tables.lines()), "sales_amount")
+    return with_double(statements.order_products(tables.decimal_lines()), "sales_amount")
 
 
 @query
@@ -304,6 +324,9 @@ def sql_join_customer_orders(tables: Tables) -> DataFrame:
 
 @query
 def sql_customer_order_total(tables: Tables) -> DataFrame:
-    return as_double(
-        statements.customer_order_total(tables.customers(), tables.orders()), "total"
-    )
+    priced = tables.orders().withColumn("total_price", exact_amount("total_price"))
+    return with_double(statements.customer_order_total(tables.customers(), priced), "total")
+
+
+def with_double(rows: DataFrame, name: str) -> DataFrame:
+    return rows.withColumn(name, F.col(name).cast("double"))

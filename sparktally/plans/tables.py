@@ -7,16 +7,24 @@ leaving out the others changes no row.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparktally.functions.dates import field
-from sparktally.functions.numbers import exact_amount, number_or_zero
+from sparktally.functions.numbers import exact_amount, number_or_zero, scaled
 from sparktally.operators.orders import with_parsed_date
 
 # Identifies a line: the line number alone repeats within an order.
 LINE_KEY = ["order_id", "line_number", "product_id", "supplier_id", "sales"]
 
+# Decimals of the amounts that are computed as whole numbers: a price has two, and so do
+# a discount and a tax rate, so their product has four.
+AMOUNT_DIGITS = 2
+LINE_DIGITS = 4
+
 
 class Tables:
     """The Parquet tables of one folder."""
@@ -26,7 +34,8 @@ class Tables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(table_schema(self.spark, path)).parquet(path)
 
     # Order lines.
 
@@ -36,16 +45,16 @@ class Tables:
             F.col("l_linenumber").alias("line_number"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("supplier_id"),
-            exact_amount("l_extendedprice").alias("sales"),
-            F.col("l_quantity").cast("smallint").alias("quantity"),
-            exact_amount("l_discount", 4).alias("discount"),
+            F.col("l_extendedprice").alias("sales"),
+            F.col("l_quantity").alias("quantity"),
+            F.col("l_discount").alias("discount"),
         )
 
     def products(self) -> DataFrame:
         return self.read("part").select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_type").alias("category"),
-            exact_amount("p_retailprice").alias("unit_price"),
+            F.col("p_retailprice").alias("unit_price"),
         )
 
     def orders(self) -> DataFrame:
@@ -53,7 +62,7 @@ class Tables:
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
-            exact_amount("o_totalprice").alias("total_price"),
+            F.col("o_totalprice").alias("total_price"),
             F.col("o_orderpriority").alias("priority"),
         )
 
@@ -69,21 +78,31 @@ class Tables:
             F.col("c_nationkey").alias("nation_id"),
         )
 
-    def states(self) -> DataFrame:
-        """The state of each customer."""
-        nations = self.read("nation").select(
+    def nations(self) -> DataFrame:
+        return self.read("nation").select(
             F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("state")
         )
-        return self.customers().join(nations, "nation_id").drop("nation_id")
 
-    def categorized_lines(self) -> DataFrame:
-        return self.lines().join(self.products().drop("unit_price"), "product_id")
+    def states(self) -> DataFrame:
+        """The state of each customer."""
+        return self.customers().join(self.nations(), "nation_id").drop("nation_id")
+
+    def categorized_amounts(self) -> DataFrame:
+        """Amount and category of each line; only these go into the next shuffle."""
+        amounts = self.lines().select("order_id", "product_id", line_amount().alias("amount"))
+        return amounts.join(self.products(), "product_id").select("order_id", "category", "amount")
 
     def profitable_lines(self) -> DataFrame:
         """Lines with their profit: discounted sales less the list price of the goods."""
         lines = self.lines().join(self.products(), "product_id")
         return lines.withColumn("profit", line_profit())
 
+    def decimal_lines(self) -> DataFrame:
+        """Lines with decimal sales and integer quantities, for plain SQL sums."""
+        return self.lines().withColumns(
+            {"sales": exact_amount("sales"), "quantity": F.col("quantity").cast("smallint")}
+        )
+
     # Transit departures.
 
     def departures(self, stop: Column) -> DataFrame:
@@ -124,13 +143,16 @@ class Tables:
         )
 
     def fares(self) -> DataFrame:
-        price, tax = exact_amount("l_extendedprice"), exact_amount("l_tax", 4)
+        """The tax of each line as its tip, in whole currency units."""
+        price, tax = scaled("l_extendedprice"), scaled("l_tax")
+        tip, total = price * tax, price * (F.lit(100) + tax)
         return self.read("lineitem").select(
-            (price * tax).alias("tip"), (price * (F.lit(1) + tax)).alias("total")
+            whole_units(tip, LINE_DIGITS).alias("tip"),
+            whole_units(total, LINE_DIGITS).alias("total"),
         )
 
     def trip_prices(self) -> DataFrame:
-        return self.read("orders").select(exact_amount("o_totalprice").alias("total"))
+        return self.read("orders").select(F.col("o_totalprice").alias("total"))
 
     # Listings.
 
@@ -162,9 +184,26 @@ class Tables:
         return self.read("pages").select("html")
 
 
+@cache
+def table_schema(spark: SparkSession, path: str) -> StructType:
+    """The schema in the table's files, looked up once per session instead of per query."""
+    return spark.read.parquet(path).schema
+
+
+def line_amount() -> Column:
+    """Sales times quantity in units of ``AMOUNT_DIGITS`` decimals."""
+    return scaled("sales") * F.col("quantity").cast("bigint")
+
+
 def line_profit() -> Column:
-    revenue = F.col("sales") * (F.lit(1) - F.col("discount"))
-    return revenue - F.col("unit_price") * F.col("quantity")
+    """Profit in units of ``LINE_DIGITS`` decimals."""
+    revenue = scaled("sales") * (F.lit(100) - scaled("discount"))
+    return revenue - scaled("unit_price") * F.col("quantity").cast("bigint") * 100
+
+
+def whole_units(value: Column, digits: int) -> Column:
+    """The whole part of an amount in units of ``digits`` decimals."""
+    return F.call_function("div", value, F.lit(10**digits).cast("bigint"))
 
 
 def event_number() -> Column:
