@@ -1,7 +1,6 @@
 """Readers of the input files.
 
-All schemas are given, so no reader makes a pass over the data to find out types, and CSV
-readers parse only the columns that are used.
+All schemas are given, so no reader makes a pass over the data to find out types.
 """
 
 from __future__ import annotations
@@ -46,9 +45,13 @@ def read_listings(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     number is NULL. A file with newlines inside fields cannot be split, so one task reads it: keep such
     files small and many, or turn ``multi_line`` off where no field spans lines.
     """
-    raw = _read_delimited(
-        spark, path, schemas.LISTINGS, multiLine=multi_line, columnNameOfCorruptRecord="malformed"
-    )
+    options = {
+        "multiLine": multi_line,
+        "columnNameOfCorruptRecord": "malformed",
+        # Fields can only be counted if all of them are parsed.
+        "columnPruning": False,
+    }
+    raw = _read_delimited(spark, path, schemas.LISTINGS, **options)
     rows = raw.filter(F.col("malformed").isNull() & F.col("id").isNotNull()).drop("malformed")
     return rows.withColumns(
         {name: number_or_null(name, kind) for name, kind in schemas.LISTING_TYPES.items()}

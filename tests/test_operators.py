@@ -146,9 +146,9 @@ def test_hot_join_key_is_split_and_the_result_whole(spark):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        rows = joins.join_records(facts.repartition(8), lookup, "key", ["id", "kind", "hash"])
+        rows = joins.join_records(facts, lookup, "key", ["id", "kind", "hash"])
         found = values(rows)
-        assert "isSkew=true" in rows._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
