@@ -33,12 +33,13 @@ def program(run: Program) -> Program:
 
 @program
 def word_count(spark: SparkSession, path: str, min_length: int = 4, min_count: int = 3) -> DataFrame:
-    return words.word_count(readers.read_text(spark, path), "value", min_length, min_count)
+    lines = readers.spread(readers.read_text(spark, path))
+    return words.word_count(lines, "value", min_length, min_count)
 
 
 @program
 def html_word_count(spark: SparkSession, path: str) -> DataFrame:
-    return words.markup_word_count(readers.read_text(spark, path))
+    return words.markup_word_count(readers.spread(readers.read_text(spark, path)))
 
 
 # Order lines.

@@ -297,18 +297,16 @@ def neighbourhood_centroid(tables: Tables) -> DataFrame:
 
 @query
 def sql_sales_by_date_state(tables: Tables) -> DataFrame:
-    lines = tables.decimal_lines().join(tables.orders(), "order_id")
-    return with_double(
-        statements.sales_by_date_state(lines.join(tables.states(), "customer_id")), "sales_amount"
-    )
+    placed = tables.orders().join(tables.states(), "customer_id")
+    lines = tables.decimal_lines().join(placed, "order_id")
+    return with_double(statements.sales_by_date_state(lines), "sales_amount")
 
 
 @query
 def sql_sales_by_date_category(tables: Tables) -> DataFrame:
     lines = tables.decimal_lines().join(tables.products(), "product_id")
-    return with_double(
-        statements.sales_by_date_category(lines.join(tables.orders(), "order_id")), "sales_amount"
-    )
+    lines = lines.join(tables.orders(), "order_id")
+    return with_double(statements.sales_by_date_category(lines), "sales_amount")
 
 
 @query

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from sparktally.functions.dates import field
 from sparktally.functions.numbers import exact_amount, number_or_zero, scaled
 from sparktally.operators.orders import with_parsed_date
+from sparktally.sources.readers import spread
 
 # Identifies a line: the line number alone repeats within an order.
 LINE_KEY = ["order_id", "line_number", "product_id", "supplier_id", "sales"]
@@ -178,10 +179,10 @@ class Tables:
     # Texts.
 
     def documents(self) -> DataFrame:
-        return self.read("documents").select("text")
+        return spread(self.read("documents").select("text"))
 
     def pages(self) -> DataFrame:
-        return self.read("pages").select("html")
+        return spread(self.read("pages").select("html"))
 
 
 @cache

@@ -269,8 +269,8 @@ def test_runner_writes_a_fresh_folder(spark, superstore, tmp_path):
 
 def test_spread_only_redistributes_a_small_scan(spark, write_file):
     folder = write_file("one\ntwo\n", "poem.txt")
-    cores = spark.sparkContext.defaultParallelism
-    scan = readers.read_text(spark, folder)
-    assert readers.spread(scan).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores + 1)
+    scan = readers.spread(readers.read_text(spark, folder))
+    assert sorted(values(scan)) == [("one",), ("two",)]
+    assert "REBALANCE" in scan._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
     assert readers.spread(many) is many
