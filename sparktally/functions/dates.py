@@ -31,7 +31,7 @@ def sortable_date(value: Column | str) -> Column:
 
 def hour_prefix(value: Column | str) -> Column:
     """The hour of ``hh:mm:ss`` as text; a service day may have hours past 23."""
-    return field(value, ":", 1)
+    return F.substring_index(as_column(value), ":", 1)
 
 
 def field(value: Column | str, separator: str, number: int) -> Column:

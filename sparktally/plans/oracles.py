@@ -52,7 +52,8 @@ LINE_ORDER = "order_id, line_number, product_id, supplier_id, sales"
 
 TOP_PROFITS = f"""
 best AS (
-  SELECT *, row_number() OVER (ORDER BY profit DESC, {LINE_ORDER}) AS rank FROM superstore
+  SELECT *, CAST(row_number() OVER (ORDER BY profit DESC, {LINE_ORDER}) AS INTEGER) AS rank
+  FROM superstore
 )
 """
 
@@ -69,7 +70,7 @@ def top_stops(services: str) -> str:
 WITH {EVENTS},
 ranked AS (
   SELECT stop_id, {services} AS services,
-         row_number() OVER (ORDER BY {services} DESC, stop_id) AS rank
+         CAST(row_number() OVER (ORDER BY {services} DESC, stop_id) AS INTEGER) AS rank
   FROM vehicles
 )
 SELECT stop_id, services, rank FROM ranked WHERE rank <= 10
@@ -230,7 +231,8 @@ GROUP BY 1
 WITH {EVENTS},
 days AS (SELECT day(ts)::INTEGER AS day, sum(k % 7)::BIGINT AS passengers
          FROM event_numbers GROUP BY 1),
-ranked AS (SELECT *, row_number() OVER (ORDER BY passengers DESC, day) AS rank FROM days)
+ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY passengers DESC, day) AS INTEGER) AS rank
+           FROM days)
 SELECT day, passengers, rank FROM ranked WHERE rank <= 3
 """,
     "daily_top_payment": """
@@ -283,7 +285,7 @@ GROUP BY 1, 2
     "cheapest_listings": """
 WITH ranked AS (
   SELECT p_partkey AS id, trunc(p_retailprice)::BIGINT AS price,
-         row_number() OVER (ORDER BY trunc(p_retailprice), p_partkey) AS rank
+         CAST(row_number() OVER (ORDER BY trunc(p_retailprice), p_partkey) AS INTEGER) AS rank
   FROM part WHERE p_type = 'ECONOMY'
 )
 SELECT id, price, rank FROM ranked WHERE rank <= 10

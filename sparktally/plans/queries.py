@@ -151,16 +151,17 @@ def top_lines(tables: Tables) -> DataFrame:
 
 @query
 def sort_by_date_asc(tables: Tables) -> DataFrame:
-    return date_sorted_lines(tables)
+    """Dates are read from their text form; lines of an order without a valid one are left out."""
+    return date_sorted_lines(tables, tables.dated_orders())
 
 
 @query
 def sort_by_date_desc(tables: Tables) -> DataFrame:
-    return date_sorted_lines(tables, descending=True)
+    return date_sorted_lines(tables, tables.orders(), descending=True)
 
 
-def date_sorted_lines(tables: Tables, descending: bool = False) -> DataFrame:
-    dates = tables.dated_orders().select("order_id", "customer_id", "order_date")
+def date_sorted_lines(tables: Tables, placed: DataFrame, descending: bool = False) -> DataFrame:
+    dates = placed.select("order_id", "customer_id", "order_date")
     return orders.sort_by_date(tables.lines().join(dates, "order_id"), LINE_KEY, descending)
 
 

@@ -18,6 +18,10 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables")
 
 
@@ -53,6 +57,8 @@ def test_query_equals_its_sql(spark, tables, name):
     expected = connection.execute(ORACLES[name])
     names = [column[0] for column in expected.description]
     assert sorted(rows.columns) == sorted(names)
+    types = {column[0]: SPARK_TYPES[str(column[1])] for column in expected.description}
+    assert dict(rows.dtypes) == types
     found = rows.collect()
     assert found
     assert comparable(rows.columns, found) == comparable(names, expected.fetchall())
