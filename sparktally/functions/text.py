@@ -32,7 +32,7 @@ def spaces_for_nbsp(value: Column | str) -> Column:
 
 def without_punctuation(value: Column | str) -> Column:
     """The text without punctuation marks and digits."""
-    return F.translate(as_column(value), PUNCTUATION + DIGITS, "")
+    return F.regexp_replace(as_column(value), f"[{PUNCTUATION}{DIGITS}]", "")
 
 
 def letters_only(value: Column | str) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparktally.constants import DEFAULT_ROOM_TYPE, DEFAULT_STOP, TOP_DAYS, TOP_ROWS
 from sparktally.operators import listings, orders, transit, trips, words
@@ -120,9 +121,11 @@ def join_customer_orders(spark: SparkSession, path: str) -> DataFrame:
 
 
 @program
-def customer_order_total(spark: SparkSession, path: str) -> DataFrame:
+def customer_order_total(spark: SparkSession, path: str, keep_zero: bool = True) -> DataFrame:
+    """``keep_zero=False`` leaves out customers whose orders add up to nothing."""
     customers, placed = readers.read_customers(spark, path), readers.read_orders(spark, path)
-    return total_by_lookup(placed, customers, "custkey", ["custkey", "name"], "totalprice")
+    totals = total_by_lookup(placed, customers, "custkey", ["custkey", "name"], "totalprice")
+    return totals if keep_zero else totals.filter(F.col("total") != 0)
 
 
 # Transit.

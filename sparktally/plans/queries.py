@@ -300,14 +300,14 @@ def neighbourhood_centroid(tables: Tables) -> DataFrame:
 def sql_sales_by_date_state(tables: Tables) -> DataFrame:
     placed = tables.orders().join(tables.states(), "customer_id")
     lines = tables.decimal_lines().join(placed, "order_id")
-    return with_double(statements.sales_by_date_state(lines), "sales_amount")
+    return with_double(statements.sales_by(lines, "order_date", "state"), "sales_amount")
 
 
 @query
 def sql_sales_by_date_category(tables: Tables) -> DataFrame:
     lines = tables.decimal_lines().join(tables.products(), "product_id")
     lines = lines.join(tables.orders(), "order_id")
-    return with_double(statements.sales_by_date_category(lines), "sales_amount")
+    return with_double(statements.sales_by(lines, "order_date", "category"), "sales_amount")
 
 
 @query

@@ -7,24 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SALES_BY_DATE_STATE = """
-SELECT order_date, state, sum(sales * quantity) AS sales_amount
-FROM {superstore}
-GROUP BY order_date, state
-"""
-
-SALES_BY_DATE_CATEGORY = """
-SELECT order_date, category, sum(sales * quantity) AS sales_amount
-FROM {superstore}
-GROUP BY order_date, category
-"""
+# Grouping by all selected columns cannot name a column that is not shown.
+SALES_BY = "SELECT {keys}, sum(sales * quantity) AS sales_amount FROM {{lines}} GROUP BY ALL"
 
 ORDER_PRODUCTS = """
-SELECT order_id,
-       count(DISTINCT product_id) AS distinct_products,
+SELECT order_id, count(DISTINCT product_id) AS distinct_products,
        sum(sales * quantity) AS sales_amount
-FROM {superstore}
-GROUP BY order_id
+FROM {lines}
+GROUP BY ALL
 """
 
 JOIN_CUSTOMER_ORDERS = """
@@ -36,21 +26,18 @@ FROM {customers} JOIN {orders} USING (customer_id)
 # customer with very many orders then joins as one row.
 CUSTOMER_ORDER_TOTAL = """
 SELECT customer_id, customer_name AS name, total
-FROM (SELECT customer_id, sum(total_price) AS total FROM {orders} GROUP BY customer_id)
+FROM (SELECT customer_id, sum(total_price) AS total FROM {orders} GROUP BY ALL)
 JOIN {customers} USING (customer_id)
 """
 
 
-def sales_by_date_state(superstore: DataFrame) -> DataFrame:
-    return superstore.sparkSession.sql(SALES_BY_DATE_STATE, superstore=superstore)
-
-
-def sales_by_date_category(superstore: DataFrame) -> DataFrame:
-    return superstore.sparkSession.sql(SALES_BY_DATE_CATEGORY, superstore=superstore)
+def sales_by(lines: DataFrame, *keys: str) -> DataFrame:
+    """Sales amount grouped by the given columns, such as date and state."""
+    return lines.sparkSession.sql(SALES_BY.format(keys=", ".join(keys)), lines=lines)
 
 
-def order_products(superstore: DataFrame) -> DataFrame:
-    return superstore.sparkSession.sql(ORDER_PRODUCTS, superstore=superstore)
+def order_products(lines: DataFrame) -> DataFrame:
+    return lines.sparkSession.sql(ORDER_PRODUCTS, lines=lines)
 
 
 def join_customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:

@@ -129,6 +129,13 @@ def test_customer_orders(spark, piped):
     assert values(PROGRAMS["customer_order_total"](spark, piped)) == [(1, "Ann", Decimal("100.30"))]
 
 
+def test_customer_whose_orders_cancel_out(spark, piped, write_file):
+    folder = write_file("13|2|O|4.50|1996-01-02|L|C|0|x|\n14|2|O|-4.50|1996-01-02|L|C|0|y|\n", "orders.tbl.u2")
+    run = PROGRAMS["customer_order_total"]
+    assert sorted(values(run(spark, folder), "custkey", "total"))[1] == (2, Decimal("0"))
+    assert values(run(spark, folder, keep_zero=False), "custkey") == [(1,)]
+
+
 @pytest.fixture
 def departures(write_file):
     header = "course;stop_code;stop_id;stop_name;route;headsign;direction;departure_time;delay\n"

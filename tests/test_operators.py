@@ -197,6 +197,19 @@ def test_sort_is_total_and_breaks_ties_by_row_key(spark):
     assert values(descending) == [(2, 7), (3, 7), (1, 5), (4, 1)]
 
 
+def test_rows_of_one_key_are_sorted_by_several_tasks(spark):
+    rows = spark.range(20000).selectExpr("CAST(id AS INT) AS id", "'hot' AS key", "id % 7 AS value")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        by_key = aggregates.key_values(rows.repartition(4), "key", "value", ["id"])
+        tasks = values(by_key.groupBy(F.spark_partition_id()).count())
+        in_order = values(ordering.sort_rows(rows.repartition(4), "key", ["id"]), "id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) == 4 and max(count for _, count in tasks) < 10000
+    assert in_order == [(index,) for index in range(20000)]
+
+
 @pytest.mark.parametrize("k", [0, -1])
 def test_top_k_needs_a_positive_k(sales, k):
     with pytest.raises(ValueError):
