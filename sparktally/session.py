@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A session that runs many reports should compile the code of each only once.
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
