@@ -38,17 +38,22 @@ def unscaled(value: Column | str, digits: int = 2) -> Column:
     return as_column(value).cast("double") / float(10**digits)
 
 
-def wide_sum(value: Column | str) -> Column:
-    """The sum of a bigint over any number of rows, as a decimal(38,0).
+# A plain sum of large amounts overflows a bigint at some 10^10 rows per group. Upper and
+# lower bits are added up apart, each far from the limit, and put together at the end.
+LOW_BITS = 20
 
-    A plain sum of large amounts overflows at some 10^10 rows per group. Upper and lower
-    bits are added up apart, each far from the limit, and put together at the end.
-    """
-    low_bits = 20
+
+def bit_parts(value: Column | str) -> dict[str, Column]:
+    """A bigint as two parts, ``high`` and ``low``, whose sums cannot overflow."""
     number = as_column(value)
-    high = F.sum(F.shiftright(number, low_bits))
-    low = F.sum(number.bitwiseAND(F.lit((1 << low_bits) - 1).cast("bigint")))
-    return (high.cast("decimal(28,0)") * F.lit(1 << low_bits) + low).cast("decimal(38,0)")
+    low = number.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
+    return {"high": F.shiftright(number, LOW_BITS), "low": low}
+
+
+def from_bit_parts(high: Column | str = "high", low: Column | str = "low") -> Column:
+    """The exact number that the sums of both parts stand for, as a decimal(38,0)."""
+    wide = as_column(high).cast("decimal(28,0)") * F.lit(1 << LOW_BITS) + as_column(low)
+    return wide.cast("decimal(38,0)")
 
 
 def truncated(value: Column | str) -> Column:

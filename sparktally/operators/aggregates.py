@@ -6,7 +6,7 @@ all rows sends one partial row per task into the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +15,11 @@ from sparktally.functions.numbers import as_column, truncated, whole_percent
 
 
 def total_by(
-    rows: DataFrame,
-    keys: Sequence[str | Column],
-    value: Column | str,
-    total: str = "total",
-    add: Callable[[Column], Column] = F.sum,
+    rows: DataFrame, keys: Sequence[str | Column], totals: Mapping[str, Column | str]
 ) -> DataFrame:
-    """The sum of ``value`` per group; ``add`` is the kind of sum."""
-    return rows.groupBy(*keys).agg(add(as_column(value)).alias(total))
+    """Sums per group, each under its name."""
+    sums = (F.sum(as_column(value)).alias(name) for name, value in totals.items())
+    return rows.groupBy(*keys).agg(*sums)
 
 
 def count_by(rows: DataFrame, keys: Sequence[str | Column], count: str = "count") -> DataFrame:
@@ -35,16 +32,14 @@ def distinct_and_totals_by(
     keys: Sequence[str],
     item: str,
     distinct: str,
-    totals: Mapping[str, Column],
+    totals: Mapping[str, Column | str],
 ) -> DataFrame:
-    """Distinct ``item`` values and any number of sums (``totals``) per group.
+    """Distinct ``item`` values and any number of sums per group.
 
     Totals are first added up per (group, item), so the rows of a large group spread over
     all tasks by item, and only one row per distinct item goes on to the group.
     """
-    per_item = rows.groupBy(*keys, item).agg(
-        *(total.alias(name) for name, total in totals.items())
-    )
+    per_item = total_by(rows, [*keys, item], totals)
     return per_item.groupBy(*keys).agg(
         F.count(item).alias(distinct), *(F.sum(name).alias(name) for name in totals)
     )

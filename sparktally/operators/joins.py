@@ -7,7 +7,7 @@ and otherwise joins by sort-merge, where adaptive execution splits the partition
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -29,19 +29,17 @@ def total_by_lookup(
     lookup: DataFrame,
     on: str,
     by: Sequence[str],
-    value: Column | str,
-    total: str = "total",
+    totals: Mapping[str, Column | str],
     how: str = "inner",
-    add: Callable[[Column], Column] = F.sum,
 ) -> DataFrame:
-    """Total ``value`` grouped by columns of a lookup table.
+    """Totals of facts grouped by columns of a lookup table.
 
     Facts are added up per join key before the join. That leaves one row per key to join,
     so a hot key is gone before it meets the join, and the join itself needs no further
     shuffle of the facts. Sums of sums are sums, so the result is that of joining first.
     """
-    per_key = total_by(facts, [on], value, total, add)
-    return total_by(per_key.join(lookup, on, how), by, total, total)
+    per_key = total_by(facts, [on], totals)
+    return total_by(per_key.join(lookup, on, how), by, {name: name for name in totals})
 
 
 def count_by_lookup(
@@ -53,8 +51,7 @@ def count_by_lookup(
     how: str = "inner",
 ) -> DataFrame:
     """Count facts grouped by columns of a lookup table; counts per key before the join."""
-    per_key = count_by(facts, [on], count)
-    return total_by(per_key.join(lookup, on, how), by, count, count)
+    return total_by_lookup(facts, lookup, on, by, {count: F.lit(1)}, how)
 
 
 def complete_few(few: DataFrame, lookup: DataFrame, on: str) -> DataFrame:

@@ -6,7 +6,7 @@ A value that was not a number is NULL in the input and counts as 0 in totals.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,28 +27,21 @@ def amount() -> Column:
 
 
 def profit_by(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return total_by(lines, keys, or_zero("profit"), "profit")
+    return total_by(lines, keys, {"profit": or_zero("profit")})
 
 
-def sales_by(
-    lines: DataFrame,
-    keys: Sequence[str],
-    value: Column | str | None = None,
-    add: Callable[[Column], Column] = F.sum,
-) -> DataFrame:
-    """Sales amount per group; ``value`` is the amount of a line if not sales times quantity."""
-    return total_by(lines, keys, amount() if value is None else value, "sales_amount", add)
+def sales_by(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return total_by(lines, keys, {"sales_amount": amount()})
 
 
-def order_products(
-    lines: DataFrame,
-    value: Column | None = None,
-    add: Callable[[Column], Column] = F.sum,
-) -> DataFrame:
-    """Distinct products, total quantity and sales amount of each order."""
+def order_products(lines: DataFrame, amounts: Mapping[str, Column] | None = None) -> DataFrame:
+    """Distinct products, total quantity and sales amount of each order.
+
+    ``amounts`` are the sums to build instead of that of sales times quantity.
+    """
     totals = {
-        "total_quantity": F.sum(or_zero("quantity").cast("bigint")),
-        "sales_amount": add(amount() if value is None else value),
+        "total_quantity": or_zero("quantity").cast("bigint"),
+        **(amounts or {"sales_amount": amount()}),
     }
     return distinct_and_totals_by(lines, ["order_id"], "product_id", "distinct_products", totals)
 

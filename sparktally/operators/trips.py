@@ -21,13 +21,13 @@ from sparktally.operators.ordering import sort_rows, top_k
 
 def passengers_by_hour(trips: DataFrame) -> DataFrame:
     """Passengers by hour of day, busiest hour first, then by hour."""
-    totals = total_by(trips, [F.hour("pickup").alias("hour")], "passengers", "passengers")
+    totals = total_by(trips, [F.hour("pickup").alias("hour")], {"passengers": "passengers"})
     return sort_rows(totals, "passengers", ["hour"], descending=True)
 
 
 def top_days_of_month(trips: DataFrame, k: int = TOP_DAYS, rank: str | None = None) -> DataFrame:
     """The days of the month, over all months, with the most passengers."""
-    totals = total_by(trips, [F.dayofmonth("pickup").alias("day")], "passengers", "passengers")
+    totals = total_by(trips, [F.dayofmonth("pickup").alias("day")], {"passengers": "passengers"})
     return top_k(totals, "passengers", ["day"], k, rank)
 
 

@@ -124,7 +124,7 @@ def join_customer_orders(spark: SparkSession, path: str) -> DataFrame:
 def customer_order_total(spark: SparkSession, path: str, keep_zero: bool = True) -> DataFrame:
     """``keep_zero=False`` leaves out customers whose orders add up to nothing."""
     customers, placed = readers.read_customers(spark, path), readers.read_orders(spark, path)
-    totals = total_by_lookup(placed, customers, "custkey", ["custkey", "name"], "totalprice")
+    totals = total_by_lookup(placed, customers, "custkey", ["custkey", "name"], {"total": "totalprice"})
     return totals if keep_zero else totals.filter(F.col("total") != 0)
 
 

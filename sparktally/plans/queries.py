@@ -13,9 +13,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktally.functions.numbers import exact_amount, scaled, unscaled, wide_sum
+from sparktally.functions.numbers import (
+    bit_parts,
+    exact_amount,
+    from_bit_parts,
+    scaled,
+    unscaled,
+)
 from sparktally.operators import listings, orders, transit, trips, words
-from sparktally.operators.aggregates import distinct_key_values, key_values, one_value_by
+from sparktally.operators.aggregates import (
+    distinct_key_values,
+    key_values,
+    one_value_by,
+    total_by,
+)
 from sparktally.operators.joins import (
     complete_few,
     count_by_lookup,
@@ -35,9 +46,15 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
 
 
 def in_currency(rows: DataFrame, name: str, digits: int) -> DataFrame:
+    """An amount in whole units as a double."""
     return rows.withColumn(name, unscaled(name, digits))
 
 
+def total_in_currency(rows: DataFrame, name: str, digits: int) -> DataFrame:
+    """A total that was added up in two parts as a double."""
+    return rows.withColumn(name, unscaled(from_bit_parts(), digits)).drop("high", "low")
+
+
 # Words.
 
 
@@ -71,11 +88,9 @@ def profit_by_customer(tables: Tables) -> DataFrame:
         tables.orders(),
         on="order_id",
         by=["customer_id"],
-        value="profit",
-        total="profit",
-        add=wide_sum,
+        totals=bit_parts("profit"),
     )
-    return in_currency(totals, "profit", LINE_DIGITS)
+    return total_in_currency(totals, "profit", LINE_DIGITS)
 
 
 @query
@@ -97,8 +112,8 @@ def customer_profit_distinct(tables: Tables) -> DataFrame:
 @query
 def sales_by_date_category(tables: Tables) -> DataFrame:
     lines = tables.categorized_amounts().join(tables.orders(), "order_id")
-    totals = orders.sales_by(lines, ["order_date", "category"], "amount", wide_sum)
-    return in_currency(totals, "sales_amount", AMOUNT_DIGITS)
+    totals = total_by(lines, ["order_date", "category"], bit_parts("amount"))
+    return total_in_currency(totals, "sales_amount", AMOUNT_DIGITS)
 
 
 @query
@@ -108,17 +123,15 @@ def sales_by_date_state(tables: Tables) -> DataFrame:
         tables.orders().join(tables.states(), "customer_id"),
         on="order_id",
         by=["order_date", "state"],
-        value=line_amount(),
-        total="sales_amount",
-        add=wide_sum,
+        totals=bit_parts(line_amount()),
     )
-    return in_currency(totals, "sales_amount", AMOUNT_DIGITS)
+    return total_in_currency(totals, "sales_amount", AMOUNT_DIGITS)
 
 
 @query
 def order_distinct_products(tables: Tables) -> DataFrame:
-    totals = orders.order_products(tables.lines(), line_amount(), wide_sum)
-    return in_currency(totals, "sales_amount", AMOUNT_DIGITS)
+    totals = orders.order_products(tables.lines(), bit_parts(line_amount()))
+    return total_in_currency(totals, "sales_amount", AMOUNT_DIGITS)
 
 
 @query
@@ -181,10 +194,9 @@ def customer_order_total(tables: Tables) -> DataFrame:
         tables.customers(),
         on="customer_id",
         by=["customer_id", "customer_name"],
-        value=scaled("total_price"),
-        add=wide_sum,
+        totals=bit_parts(scaled("total_price")),
     )
-    return in_currency(totals, "total", AMOUNT_DIGITS)
+    return total_in_currency(totals, "total", AMOUNT_DIGITS)
 
 
 # Transit.

@@ -44,9 +44,11 @@ def test_whole_percent(spark, part, whole, expected):
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(-(2**63), 2**63 - 1), min_size=1, max_size=30))
-def test_wide_sum_is_exact_beyond_a_bigint(spark, amounts):
+def test_sums_in_parts_are_exact_beyond_a_bigint(spark, amounts):
     rows = spark.createDataFrame([(amount,) for amount in amounts], "v bigint")
-    assert rows.agg(numbers.wide_sum("v").alias("out")).head().out == sum(amounts)
+    parts = numbers.bit_parts("v")
+    sums = rows.agg(*(F.sum(value).alias(name) for name, value in parts.items()))
+    assert sums.select(numbers.from_bit_parts().alias("out")).head().out == sum(amounts)
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))

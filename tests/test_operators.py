@@ -25,7 +25,7 @@ def test_totals_with_a_hot_key(sales):
     expected = defaultdict(int)
     for _, key, amount in values(sales):
         expected[key] += amount
-    assert dict(values(aggregates.total_by(sales, ["key"], "amount"))) == dict(expected)
+    assert dict(values(aggregates.total_by(sales, ["key"], {"total": "amount"}))) == dict(expected)
 
 
 @pytest.mark.parametrize("partitions", [1, 8])
@@ -114,8 +114,8 @@ def test_centroid(spark):
 
 def test_total_by_lookup_is_join_then_total(spark, sales):
     lookup = spark.createDataFrame([(key, f"group {key % 4}") for key in range(40)], "key int, name string")
-    early = joins.total_by_lookup(sales, lookup, "key", ["name"], "amount")
-    late = aggregates.total_by(sales.join(lookup, "key"), ["name"], "amount")
+    early = joins.total_by_lookup(sales, lookup, "key", ["name"], {"total": "amount"})
+    late = aggregates.total_by(sales.join(lookup, "key"), ["name"], {"total": "amount"})
     assert sorted(values(early)) == sorted(values(late))
     counted = joins.count_by_lookup(sales, lookup, "key", ["name"])
     assert sorted(values(counted)) == sorted(
