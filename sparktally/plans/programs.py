@@ -38,6 +38,12 @@ def word_count(spark: SparkSession, path: str, min_length: int = 4, min_count: i
     return words.word_count(lines, "value", min_length, min_count)
 
 
+@program
+def web_page_word_count(spark: SparkSession, path: str) -> DataFrame:
+    """The word count with its default thresholds, over the lines of web pages."""
+    return word_count(spark, path)
+
+
 @program
 def html_word_count(spark: SparkSession, path: str) -> DataFrame:
     return words.markup_word_count(readers.spread(readers.read_text(spark, path)))

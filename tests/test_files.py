@@ -237,6 +237,7 @@ def test_listings_without_newlines_in_fields_can_be_split(spark, write_file):
 def test_text_reports(spark, write_file):
     folder = write_file("data  data\tfour\n\ndata of <b>data</b>\n", "poem.txt")
     assert values(PROGRAMS["word_count"](spark, folder)) == [("data", 3)]
+    assert values(PROGRAMS["web_page_word_count"](spark, folder)) == [("data", 3)]
     assert dict(values(PROGRAMS["html_word_count"](spark, folder))) == {"data": 4, "four": 1, "of": 1}
     assert values(PROGRAMS["word_count"](spark, folder, min_length=2, min_count=9)) == []
 

@@ -10,8 +10,9 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
-from sparktally.plans.queries import QUERIES
 from sparktally.plans.oracles import ORACLES
+from sparktally.plans.programs import PROGRAMS
+from sparktally.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -64,6 +65,10 @@ def test_query_equals_its_sql(spark, tables, name):
     assert comparable(rows.columns, found) == comparable(names, expected.fetchall())
 
 
+def test_every_report_runs_over_files_as_well():
+    assert set(PROGRAMS) == {name for name in QUERIES if not name.startswith("sql_")}
+
+
 def test_entry_runs(spark):
     rows = entry.entry(spark)
     assert rows.columns == ["order_date", "state", "sales_amount"]
