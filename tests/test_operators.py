@@ -197,6 +197,16 @@ def test_sort_is_total_and_breaks_ties_by_row_key(spark):
     assert values(descending) == [(2, 7), (3, 7), (1, 5), (4, 1)]
 
 
+@pytest.mark.parametrize(
+    "kind, keys",
+    [("int", [3, 1, 2]), ("bigint", [2**40, -1, 7]), ("string", ["b", "a", "é"])],
+)
+def test_descending_order_of_every_key_type(spark, kind, keys):
+    rows = spark.createDataFrame([(key,) for key in keys], f"v {kind}")
+    found = values(ordering.sort_rows(rows, "v", [], descending=True))
+    assert found == [(key,) for key in sorted(keys, reverse=True)]
+
+
 def test_rows_of_one_key_are_sorted_by_several_tasks(spark):
     rows = spark.range(20000).selectExpr("CAST(id AS INT) AS id", "'hot' AS key", "id % 7 AS value")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -304,6 +314,11 @@ def test_word_count_thresholds(spark):
     assert everything == {"data": 4, "map": 4, "reduce": 3, "four": 1}
 
 
+def test_word_length_counts_characters_not_bytes(spark):
+    rows = spark.createDataFrame([("été été été déjà déjà déjà 日本語文 日本語文 日本語文",)], "value string")
+    assert dict(values(words.word_count(rows))) == {"déjà": 3, "日本語文": 3}
+
+
 def test_word_count_of_long_texts_is_whole(spark):
     generator = random.Random(3)
     texts = [
