@@ -80,11 +80,11 @@ def _read_piped(spark: SparkSession, path: str, schema: str, files: str) -> Data
 
 
 def spread(records: DataFrame) -> DataFrame:
-    """A plain scan over more tasks, if it has fewer splits than there are cores.
+    """A plain scan over more tasks, if it has fewer than two splits per core.
 
-    For work that costs far more than reading, such as splitting texts. A scan with a split
-    per core, as of any large table, is returned as it is; only a small one, or one of few
+    For work that costs far more than reading, such as splitting texts. A scan with enough
+    splits, as of any large table, is returned as it is; only a small one, or one of few
     files that cannot be split, is redistributed, to a number of tasks that suits its size.
     """
-    cores = records.sparkSession.sparkContext.defaultParallelism
-    return records if records.rdd.getNumPartitions() >= cores else records.hint("rebalance")
+    enough = 2 * records.sparkSession.sparkContext.defaultParallelism
+    return records if records.rdd.getNumPartitions() >= enough else records.hint("rebalance")

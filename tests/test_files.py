@@ -280,5 +280,5 @@ def test_spread_only_redistributes_a_small_scan(spark, write_file):
     scan = readers.spread(readers.read_text(spark, folder))
     assert sorted(values(scan)) == [("one",), ("two",)]
     assert "REBALANCE" in scan._jdf.queryExecution().executedPlan().toString()
-    many = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
+    many = spark.range(0, 100, 1, 2 * spark.sparkContext.defaultParallelism)
     assert readers.spread(many) is many
