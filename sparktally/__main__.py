@@ -23,6 +23,7 @@ PARAMETERS = {
 
 
 def main(arguments: list[str] | None = None) -> str:
+    """Runs the report and returns the folder of its result."""
     parser = argparse.ArgumentParser(prog="sparktally", description=__doc__)
     parser.add_argument("report", choices=sorted(PROGRAMS))
     parser.add_argument("input", help="input folder")
@@ -41,5 +42,9 @@ def main(arguments: list[str] | None = None) -> str:
     return folder
 
 
-if __name__ == "__main__":
+def run() -> None:
     print(main())
+
+
+if __name__ == "__main__":
+    run()
