@@ -6,6 +6,7 @@ Under ``spark-submit`` the master and resources come from its own arguments.
 from __future__ import annotations
 
 import argparse
+from inspect import signature
 
 from sparktally.plans.programs import PROGRAMS
 from sparktally.session import build_session
@@ -34,6 +35,9 @@ def main(arguments: list[str] | None = None) -> str:
     options = vars(parser.parse_args(arguments))
 
     given = {name: options[name] for name in PARAMETERS if options[name] is not None}
+    known = signature(PROGRAMS[options["report"]]).parameters
+    for name in given.keys() - known.keys():
+        parser.error(f"{options['report']} has no --{name}")
     spark = build_session(f"sparktally {options['report']}")
     rows = PROGRAMS[options["report"]](spark, options["input"], **given)
     folder = run_folder(options["output"], options["report"])

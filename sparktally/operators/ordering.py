@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,10 +34,12 @@ def top_k(
     """The ``k`` rows with the largest value, in order; ties go by ascending ``row_key``.
 
     Each task keeps ``k`` rows, so nothing is sorted or shuffled whole. With ``rank`` the
-    position is added as a column, over the ``k`` rows that are left.
+    position is added as a column, over the ``k`` rows that are left. A ``k`` below 1 is
+    taken as 1, with a warning.
     """
     if k < 1:
-        raise ValueError(f"k must be at least 1, not {k}")
+        warnings.warn(f"k is taken as 1, since {k} is too low", stacklevel=2)
+        k = 1
     order = [_direction(by, descending), *row_key]
     first = rows.orderBy(*order).limit(k)
     if rank is None:

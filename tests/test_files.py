@@ -275,6 +275,11 @@ def test_runner_writes_a_fresh_folder(spark, superstore, tmp_path):
     assert spark.read.parquet(folder).count() == 2
 
 
+def test_runner_rejects_a_parameter_of_another_report(superstore, tmp_path):
+    with pytest.raises(SystemExit):
+        runner.main(["peak_hours", superstore, str(tmp_path), "--k", "2"])
+
+
 def test_spread_only_redistributes_a_small_scan(spark, write_file):
     folder = write_file("one\ntwo\n", "poem.txt")
     scan = readers.spread(readers.read_text(spark, folder))

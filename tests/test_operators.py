@@ -221,9 +221,10 @@ def test_rows_of_one_key_are_sorted_by_several_tasks(spark):
 
 
 @pytest.mark.parametrize("k", [0, -1])
-def test_top_k_needs_a_positive_k(sales, k):
-    with pytest.raises(ValueError):
-        ordering.top_k(sales, "amount", ["id"], k)
+def test_a_k_below_one_is_one(sales, k):
+    with pytest.warns(UserWarning, match="taken as 1"):
+        rows = ordering.top_k(sales, "amount", ["id"], k)
+    assert values(rows) == values(ordering.top_k(sales, "amount", ["id"], 1))
 
 
 def test_top_k_with_fewer_rows_than_k(spark):
