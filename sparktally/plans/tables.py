@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparktally.constants import SHORT_DATE
 from sparktally.functions.dates import field
 from sparktally.functions.numbers import exact_amount, number_or_zero, scaled
 from sparktally.operators.orders import with_parsed_date
@@ -69,7 +70,7 @@ class Tables:
 
     def dated_orders(self) -> DataFrame:
         """Orders whose date is read from ``M/d/yy`` text; orders without a valid one are left out."""
-        text = F.date_format("order_date", "M/d/yy")
+        text = F.date_format("order_date", SHORT_DATE)
         return with_parsed_date(self.orders().withColumn("order_date", text))
 
     def customers(self) -> DataFrame:
