@@ -64,6 +64,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
 
+OP5 = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(0, len(parts))) AS line_no, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)
+),
+keyed AS (
+  SELECT doc_id, line_no,
+    list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS words
+  FROM lines
+),
+sets AS (
+  SELECT words, len(words) AS n, min(row(coalesce(doc_id, -1), line_no)) AS first
+  FROM keyed WHERE len(words) > 0 GROUP BY words
+),
+numbered AS (SELECT row_number() OVER () AS r, * FROM sets),
+counted AS (SELECT word, count(*) AS c FROM (SELECT unnest(words) AS word FROM sets) GROUP BY word),
+-- Sets that match share one of their rarest words.
+placed AS (
+  SELECT r, n, first, word, row_number() OVER (PARTITION BY r ORDER BY c, word) AS place
+  FROM (SELECT r, n, first, unnest(words) AS word FROM numbered) JOIN counted USING (word)
+),
+rare AS (SELECT * FROM placed WHERE 5 * (place - 1) <= n),
+pairs AS (
+  SELECT DISTINCT x.r AS xr, y.r AS yr FROM rare x JOIN rare y
+    ON x.word = y.word AND x.first < y.first AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)
+),
+later AS (
+  SELECT DISTINCT y.words AS words
+  FROM pairs JOIN numbered x ON x.r = xr JOIN numbered y ON y.r = yr
+  WHERE 9 * len(list_intersect(x.words, y.words)) >= 4 * (x.n + y.n)
+)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+  CASE WHEN later.words IS NOT NULL THEN 'similar' ELSE 'same' END AS reason
+FROM keyed JOIN sets USING (words) LEFT JOIN later USING (words)
+WHERE later.words IS NOT NULL OR row(coalesce(doc_id, -1), line_no) <> first
+"""
+
 # The steps of the mix as views: words, places, targets, slots. {documents} is a relation.
 MIX = rf"""
 sized AS (
@@ -128,6 +165,7 @@ OP8 = "WITH " + MIX.format(documents="documents") + "SELECT * FROM mixed"
 LLM_ORACLES = {
     "op1_warc": OP1,
     "op2_exact_dedup": OP2,
+    "op5_line_dedup": OP5,
     "op8_mixing": OP8,
     "op9_decontamination": OP9,
 }

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from sparktally.llm.common import table
 from sparktally.llm.decontamination import find_hits, hit_words
 from sparktally.llm.exact_dedup import new_index
+from sparktally.llm.html_extraction import extract_text
+from sparktally.llm.line_dedup import repeated_lines
 from sparktally.llm.mixing import mix_sources
+from sparktally.llm.quality import score_quality
 from sparktally.llm.sharding import shard_records
 from sparktally.llm.simhash import near_duplicates
+from sparktally.llm.toxicity import score_toxicity
 from sparktally.llm.warc import new_archive
 
 
@@ -44,6 +48,23 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line to remove."""
+    return repeated_lines(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract_text(table(spark, folder, "pages"))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return score_quality(documents, labels).withColumnRenamed("id", "doc_id")
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mix_sources(table(spark, folder, "documents"))
     return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -71,11 +92,21 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    found = score_toxicity(documents, labels, keep=["doc_id"])
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 LLM_QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sharding": op3_sharding,
     "op4_simhash": op4_simhash,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
