@@ -39,6 +39,9 @@ MAX_BITS = 3
 GROUP_LIMIT = 20_000
 # Rows that a search task should get on average, pairs that it may hold at once.
 TASK_ROWS = 500_000
+# Parts of a document's vocabulary that get fingerprints of their own.
+PART_WORDS = 32
+PARTS = 8
 PAIRS_AT_ONCE = 2_000_000
 FAN = 8
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -73,18 +76,69 @@ def fingerprint(shingles: Iterator[bytes]) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
-def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle_words: int) -> DataFrame:
-    """``id`` and ``fp`` of every document."""
+def majority_bits(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Signed 64-bit numbers with the bits (little-endian columns) set in over half of each row."""
+    bits = np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little")
+    return bits.view("<i8").ravel()
+
+
+def part_prints(text: str | None, shingle_words: int) -> list[tuple[int, int]]:
+    """The text's own fingerprint (tag 0) and fingerprints of parts of its vocabulary.
+
+    The different words are dealt by hash into a power of two of parts with at least
+    ``PART_WORDS`` words on average and at most ``PARTS`` parts, and into half as many. A part
+    is a fingerprint of its own, so that a copy with scattered edits still has parts with few
+    or none of them.
+    """
+    prints = [(0, fingerprint(shingles_of(text, shingle_words)))]
+    words = set(text.encode().translate(UPPER).split()) if text else ()
+    if len(words) < PART_WORDS:
+        return prints
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED + 1)), np.uint64)
+    parts = min(PARTS, 1 << (len(words) // PART_WORDS).bit_length() - 1)
+    part = (hashes % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    sizes = np.bincount(part, minlength=parts)
+    # The part numbers take the lowest bits, so the fingerprints' bits are mixed anew.
+    mixed = hashes[order] * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    counts = np.zeros((parts, 64), np.int64)
+    filled = np.flatnonzero(sizes)
+    starts = np.cumsum(sizes) - sizes
+    counts[filled] = np.add.reduceat(bits, starts[filled], axis=0, dtype=np.int64)
+    half = max(1, parts // 2)
+    for number, (c, n) in {
+        parts: (counts, sizes),
+        half: (counts.reshape(-1, half, 64).sum(axis=0), sizes.reshape(-1, half).sum(axis=0)),
+    }.items():
+        prints += [
+            (number + k, fp)
+            for k, fp in enumerate(majority_bits(c, n).tolist())
+            if n[k] >= PART_WORDS // 2
+        ]
+    return prints
+
+
+def fingerprints(docs: DataFrame, id_column: str, text_column: str, prints) -> DataFrame:
+    """``id``, ``tag`` and ``fp``; ``prints`` gives the (tag, fingerprint) pairs of a text."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(shingles_of(t.as_py(), shingle_words)) for t in batch.column(1)]
+            found = [prints(t.as_py()) for t in batch.column(1)]
+            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            pairs = [pair for f in found for pair in f]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64())], names=["id", "fp"]
+                [
+                    batch.column(0).take(pa.array(rows)),
+                    pa.array([tag for tag, _ in pairs], pa.int64()),
+                    pa.array([fp for _, fp in pairs], pa.int64()),
+                ],
+                names=["id", "tag", "fp"],
             )
 
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("t"))
-    return rows.mapInArrow(each, "id long, fp long")
+    return rows.mapInArrow(each, "id long, tag long, fp long")
 
 
 def gray_rank(bits: Column) -> Column:
@@ -106,25 +160,26 @@ def split_masks(taken: int, max_bits: int) -> list[int]:
 
 
 def routed(distinct: DataFrame, max_bits: int, group_limit: int) -> DataFrame:
-    """``fp``, ``mask``, ``value``: the groups in which each fingerprint meets its neighbours.
+    """``fp``, ``tag``, ``mask``, ``value``: the groups in which each fingerprint meets its neighbours.
 
     Each round fixes another share of the bits for the members of groups above the limit.
     Four rounds fix 44 bits (with three differing ones), so that even the densest group has at
     most 2^20 different members.
     """
     masks = split_masks(0, max_bits)
-    rows, done = keyed(distinct.select("fp"), [(None, masks)]), []
+    rows, done = keyed(distinct.select("fp", "tag"), [(None, masks)]), []
     for _ in range(3):
         rows = stored(rows, "routed")
         large = stored(
-            rows.groupBy("mask", "value").agg(F.count("*").alias("n")).filter(F.col("n") > group_limit),
+            rows.groupBy("tag", "mask", "value").agg(F.count("*").alias("n")).filter(F.col("n") > group_limit),
             "large-groups",
-        ).select("mask", "value")
+        ).select("tag", "mask", "value")
         if large.isEmpty():
             break
-        done.append(rows.join(large, ["mask", "value"], "left_anti").select("fp", "mask", "value"))
+        rest = rows.join(large, ["tag", "mask", "value"], "left_anti")
+        done.append(rest.select("fp", "tag", "mask", "value"))
         again = [(m, split_masks(m, max_bits)) for m in masks]
-        rows = keyed(rows.join(large, ["mask", "value"], "left_semi"), again)
+        rows = keyed(rows.join(large, ["tag", "mask", "value"], "left_semi"), again)
         masks = sorted({m for _, more in again for m in more})
     for part in done:
         rows = rows.unionByName(part)
@@ -138,7 +193,7 @@ def keyed(rows: DataFrame, choices: list[tuple[int | None, list[int]]]) -> DataF
         masks = literals[0][1]
     else:
         masks = F.coalesce(*[F.when(F.col("mask") == signed(old), new) for old, new in literals])
-    exploded = rows.select("fp", F.explode(masks).alias("mask"))
+    exploded = rows.select("fp", "tag", F.explode(masks).alias("mask"))
     return exploded.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
 
 
@@ -148,7 +203,7 @@ def search_groups(max_bits: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            held.append(np.stack([batch.column(i).to_numpy() for i in range(3)]))
+            held.append(np.stack([batch.column(i).to_numpy() for i in range(4)]))
             if sum(h.shape[1] for h in held) < 4 * GROUP_LIMIT:
                 continue
             rows = np.concatenate(held, axis=1)
@@ -164,14 +219,15 @@ def search_groups(max_bits: int):
 
 
 def linked(rows: np.ndarray, max_bits: int) -> pa.RecordBatch:
-    """Links (a, b) that connect what is connected within the groups of ``rows``."""
-    fp = rows[0].view(np.uint64)
+    """Links (tag, a, b) that connect what is connected within the groups of ``rows``."""
+    fp, tag = np.ascontiguousarray(rows[0]).view(np.uint64), rows[1]
     fresh = np.ones(len(fp), bool)
     fresh[1:] = (rows[1:, 1:] != rows[1:, :-1]).any(axis=0)
     group = np.cumsum(fresh) - 1
     sizes = np.bincount(group)
     several = sizes[group] > 1
-    fp, group = fp[several], np.unique(group[several], return_inverse=True)[1]
+    fp, tag = fp[several], tag[several]
+    group = np.unique(group[several], return_inverse=True)[1]
     label = np.arange(len(fp))
     if len(fp):
         levels = hierarchy(fp, group)
@@ -184,7 +240,8 @@ def linked(rows: np.ndarray, max_bits: int) -> pa.RecordBatch:
     ends = np.flatnonzero(label != np.arange(len(fp)))
     signed_fp = fp.view(np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(signed_fp[ends]), pa.array(signed_fp[label[ends]])], names=["a", "b"]
+        [pa.array(tag[ends]), pa.array(signed_fp[ends]), pa.array(signed_fp[label[ends]])],
+        names=["tag", "a", "b"],
     )
 
 
@@ -243,7 +300,8 @@ def stars(links: DataFrame) -> DataFrame:
         links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct(),
         "links",
     )
-    state = None
+    checks = F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))
+    state = links.agg(F.count("*"), checks).first()
     while True:
         # Large star: neighbours above a node go to its smallest neighbour.
         both = stored(
@@ -257,7 +315,6 @@ def stars(links: DataFrame) -> DataFrame:
             down.groupBy("node").agg(F.min("root").alias("root"))
         )
         links = stored(small.filter("node <> root").distinct(), "small-star")
-        checks = F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))
         before, state = state, links.agg(F.count("*"), checks).first()
         if state == before:
             return links
@@ -274,6 +331,24 @@ def hung(links: DataFrame, smallest: Column, which: Column) -> DataFrame:
     return hung_links.filter("node <> root").distinct()
 
 
+def links_within(distinct: DataFrame, max_bits: int, group_limit: int) -> DataFrame:
+    """``tag``, ``a``, ``b``: links that connect the fingerprints of a tag within ``max_bits``.
+
+    ``distinct`` has each (tag, fp) once. Every link stands for fingerprints connected within
+    a group; together they have the components of all links.
+    """
+    groups = routed(distinct, max_bits, group_limit)
+    rows = (max_bits + 1) * distinct.count()
+    partitions = max(shuffle_partitions(distinct.sparkSession), rows // TASK_ROWS)
+    sorted_groups = (
+        groups.withColumn("gray", gray_rank(F.col("fp")))
+        .repartition(partitions, "tag", "mask", "value")
+        .sortWithinPartitions("tag", "mask", "value", "gray")
+        .select("fp", "tag", "mask", "value")
+    )
+    return sorted_groups.mapInArrow(search_groups(max_bits), "tag long, a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -283,21 +358,15 @@ def near_duplicates(
     group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """``id``, ``fp`` and ``component_id``, the smallest id reachable by links."""
-    rows = stored(fingerprints(docs, id_column, text_column, shingle_words), "fingerprints")
+
+    def one(text: str | None) -> list[tuple[int, int]]:
+        return [(0, fingerprint(shingles_of(text, shingle_words)))]
+
+    rows = stored(fingerprints(docs, id_column, text_column, one), "fingerprints")
     distinct = stored(
-        rows.groupBy("fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "distinct"
-    )
-    groups = routed(distinct, max_bits, group_limit)
-    nodes = distinct.count()
-    partitions = max(shuffle_partitions(docs.sparkSession), (max_bits + 1) * nodes // TASK_ROWS)
-    sorted_groups = (
-        groups.withColumn("gray", gray_rank(F.col("fp")))
-        .repartition(partitions, "mask", "value")
-        .sortWithinPartitions("mask", "value", "gray")
-        .select("fp", "mask", "value")
+        rows.groupBy("tag", "fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "distinct"
     )
-    links = sorted_groups.mapInArrow(search_groups(max_bits), "a long, b long")
-    roots = stars(links)
+    roots = stars(links_within(distinct, max_bits, group_limit))
 
     members = stored(
         distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -311,7 +380,44 @@ def near_duplicates(
         ),
         "components",
     )
-    named = attach(members, components, "root", "fps", nodes).select("fp", "n", "component_id")
-    return attach(rows, stored(named, "named"), "fp", "n", rows.count()).select(
-        "id", "fp", "component_id"
+    named = attach(members, components, "root", "fps", members.count())
+    named = stored(named.select("fp", "n", "component_id"), "named")
+    return attach(rows, named, "fp", "n", rows.count()).select("id", "fp", "component_id")
+
+
+def duplicate_groups(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    group_limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """``id`` and ``keep_id`` (the smallest id of its group) of every document with an id.
+
+    Documents are linked if their fingerprints, or those of a part of their vocabularies, are
+    within ``max_bits`` bits: the links of ``near_duplicates`` and those to copies with
+    scattered edits, down to a similarity of about 0.8 on five-word shingles.
+    """
+
+    def several(text: str | None) -> list[tuple[int, int]]:
+        return part_prints(text, shingle_words)
+
+    found = fingerprints(docs, id_column, text_column, several)
+    rows = stored(found.filter("id IS NOT NULL"), "part-prints")
+    distinct = stored(
+        rows.groupBy("tag", "fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "distinct"
     )
+    key = F.struct("tag", "fp").alias("key")
+    first = distinct.select(key, "first_id", "n")
+    shared = attach(rows.select("id", key), first, "key", "n", rows.count())
+    same = shared.filter("id <> first_id").select(F.col("id").alias("a"), F.col("first_id").alias("b"))
+    links = stored(links_within(distinct, max_bits, group_limit), "print-links")
+    ends = distinct.select("tag", F.col("fp").alias("b"), F.col("first_id").alias("b_id"))
+    starts = distinct.select("tag", F.col("fp").alias("a"), F.col("first_id").alias("a_id"))
+    # At most one link per fingerprint and group has it as its end a; many can share an end b.
+    named = links.join(starts, ["tag", "a"]).join(ends, ["tag", "b"])
+    apart = named.filter("a_id <> b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    roots = stars(same.unionByName(apart)).withColumnsRenamed({"node": "id", "root": "keep_id"})
+    ids = rows.filter("tag = 0").select("id").distinct()
+    return ids.join(roots, "id", "left").select("id", F.coalesce("keep_id", "id").alias("keep_id"))
