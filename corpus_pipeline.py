@@ -15,7 +15,7 @@ from sparktally.llm.common import stored, table
 from sparktally.llm.decontamination import clean_documents
 from sparktally.llm.mixing import mix_sources, repeat_documents
 from sparktally.llm.sharding import shard_records
-from sparktally.llm.simhash import near_duplicates
+from sparktally.llm.simhash import duplicate_groups
 from sparktally.llm.toxicity import score_toxicity
 
 ORACLE_SQL = None
@@ -28,11 +28,14 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id."""
-    found = near_duplicates(docs)
-    kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    one_each = docs.join(kept, docs["doc_id"].eqNullSafe(kept["id"]), "left_semi")
-    return one_each.dropDuplicates(["doc_id"])
+    """Of each group of copies the document with the smallest id; documents without an id stay."""
+    groups = duplicate_groups(docs)
+    dropped = groups.filter("id <> keep_id").select(F.col("id").alias("_id"))
+    left = docs.join(dropped, docs["doc_id"] == F.col("_id"), "left_anti")
+    # Rows repeated with one id are one document.
+    return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(
+        left.filter("doc_id IS NULL")
+    )
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
