@@ -12,6 +12,12 @@ from sparktally.plans.programs import PROGRAMS
 from sparktally.session import build_session
 from sparktally.sources.writers import run_folder, write_parquet, write_tab_separated
 
+def yes_or_no(text: str) -> bool:
+    if text not in ("yes", "no"):
+        raise argparse.ArgumentTypeError("yes or no")
+    return text == "yes"
+
+
 PARAMETERS = {
     "k": int,
     "min_length": int,
@@ -20,6 +26,9 @@ PARAMETERS = {
     "room_type": str,
     "zones": str,
     "files": str,
+    "keep_zero": yes_or_no,
+    "multi_line": yes_or_no,
+    "tasks": int,
 }
 
 
@@ -38,6 +47,9 @@ def main(arguments: list[str] | None = None) -> str:
     known = signature(PROGRAMS[options["report"]]).parameters
     for name in given.keys() - known.keys():
         parser.error(f"{options['report']} has no --{name}")
+    for name, parameter in list(known.items())[2:]:
+        if parameter.default is parameter.empty and name not in given:
+            parser.error(f"{options['report']} needs --{name}")
     spark = build_session(f"sparktally {options['report']}")
     rows = PROGRAMS[options["report"]](spark, options["input"], **given)
     folder = run_folder(options["output"], options["report"])

@@ -28,9 +28,13 @@ def exact_amount(value: Column | str, precision: int = 12, scale: int = 2) -> Co
 def scaled(value: Column | str, digits: int = 2) -> Column:
     """A floating-point amount as a whole number of its smallest unit, such as cents.
 
-    Whole numbers add up exactly in any order, at a fraction of the cost of decimals.
+    Whole numbers add up exactly in any order, at a fraction of the cost of decimals. An amount
+    with more decimals is not rounded but rejected, as is one that is no number: it is NULL.
     """
-    return F.rint(as_column(value) * float(10**digits)).cast("bigint")
+    units = as_column(value) * float(10**digits)
+    # What binary fractions leave of whole units is far below one in 10^9 of the amount.
+    off = F.abs(units - F.rint(units)) <= F.greatest(F.abs(units), F.lit(1.0)) * 1e-9
+    return F.when(off, F.rint(units).try_cast("bigint"))
 
 
 def unscaled(value: Column | str, digits: int = 2) -> Column:
@@ -57,8 +61,8 @@ def from_bit_parts(high: Column | str = "high", low: Column | str = "low") -> Co
 
 
 def truncated(value: Column | str) -> Column:
-    """The whole part as a bigint, rounded toward zero."""
-    return as_column(value).cast("bigint")
+    """The whole part as a bigint, rounded toward zero; NULL for NaN, infinity and what exceeds it."""
+    return as_column(value).try_cast("bigint")
 
 
 def whole_percent(part: Column, whole: Column) -> Column:

@@ -12,7 +12,8 @@ from sparktally.operators.ordering import bottom_k, sort_rows
 
 
 def top_hosts(listings: DataFrame) -> DataFrame:
-    """Listings by host, most listings first, then by host."""
+    """Listings by host, most listings first, then by host. A listing without a host is rejected."""
+    listings = listings.filter("host_id IS NOT NULL")
     return most_listings_first(count_by(listings, ["host_id", "host_name"], "listings"))
 
 

@@ -1,4 +1,7 @@
-"""Reports over taxi trips."""
+"""Reports over taxi trips.
+
+A trip without a valid time or number of passengers is rejected by reports grouped by it.
+"""
 
 from __future__ import annotations
 
@@ -21,12 +24,14 @@ from sparktally.operators.ordering import sort_rows, top_k
 
 def passengers_by_hour(trips: DataFrame) -> DataFrame:
     """Passengers by hour of day, busiest hour first, then by hour."""
+    trips = trips.filter("pickup IS NOT NULL")
     totals = total_by(trips, [F.hour("pickup").alias("hour")], {"passengers": "passengers"})
     return sort_rows(totals, "passengers", ["hour"], descending=True)
 
 
 def top_days_of_month(trips: DataFrame, k: int = TOP_DAYS, rank: str | None = None) -> DataFrame:
     """The days of the month, over all months, with the most passengers."""
+    trips = trips.filter("pickup IS NOT NULL")
     totals = total_by(trips, [F.dayofmonth("pickup").alias("day")], {"passengers": "passengers"})
     return top_k(totals, "passengers", ["day"], k, rank)
 
@@ -35,6 +40,7 @@ def top_payment_by_day(
     trips: DataFrame, labels: Mapping[int, str] = PAYMENT_LABELS
 ) -> DataFrame:
     """The most used payment of each day of the month; a tie goes to the lowest code."""
+    trips = trips.filter("pickup IS NOT NULL")
     by_day = trips.select(F.dayofmonth("pickup").alias("day"), "payment_type")
     best = most_frequent_by(by_day, "day", "payment_type")
     return best.withColumn("payment", label_of("payment_type", labels))
@@ -50,7 +56,8 @@ def zone_demand(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 def passenger_frequency(trips: DataFrame) -> DataFrame:
     """Trips by number of passengers, most frequent first, then by number."""
-    return sort_rows(count_by(trips, ["passengers"], "trips"), "trips", ["passengers"], True)
+    known = trips.filter("passengers IS NOT NULL")
+    return sort_rows(count_by(known, ["passengers"], "trips"), "trips", ["passengers"], True)
 
 
 def tip_ratio(trips: DataFrame, truncate: bool = True) -> DataFrame:

@@ -180,6 +180,13 @@ SELECT c_custkey AS customer_id, c_name AS customer_name,
        sum(o_totalprice::DECIMAL(12,2))::DOUBLE AS total
 FROM customer JOIN orders ON c_custkey = o_custkey
 GROUP BY c_custkey, c_name
+""",
+    "customer_order_total_nonzero": """
+SELECT c_custkey AS customer_id, c_name AS customer_name,
+       sum(floor(o_totalprice / 400000))::DOUBLE AS total
+FROM customer JOIN orders ON c_custkey = o_custkey
+GROUP BY c_custkey, c_name
+HAVING sum(floor(o_totalprice / 400000)) <> 0
 """,
     "stop_hourly_services": f"""
 WITH {EVENTS}
@@ -195,7 +202,7 @@ GROUP BY hour, route
     "stop_hour_traffic": f"""
 WITH {EVENTS},
 counts AS (
-  SELECT stop_id % 20 AS stop_id, hour,
+  SELECT stop_id // 8 AS stop_id, hour,
          count(*) FILTER (WHERE route <= 4 AND direction = 1) AS trams_out,
          count(*) FILTER (WHERE route <= 4 AND direction <> 1) AS trams_back,
          count(*) FILTER (WHERE route > 4 AND direction = 1) AS buses_out,

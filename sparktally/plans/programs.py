@@ -33,20 +33,26 @@ def program(run: Program) -> Program:
 
 
 @program
-def word_count(spark: SparkSession, path: str, min_length: int = 4, min_count: int = 3) -> DataFrame:
-    lines = readers.spread(readers.read_text(spark, path))
+def word_count(
+    spark: SparkSession,
+    path: str,
+    min_length: int = 4,
+    min_count: int = 3,
+    tasks: int | None = None,
+) -> DataFrame:
+    lines = readers.spread(readers.read_text(spark, path), tasks)
     return words.word_count(lines, "value", min_length, min_count)
 
 
 @program
-def web_page_word_count(spark: SparkSession, path: str) -> DataFrame:
+def web_page_word_count(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
     """The word count with its default thresholds, over the lines of web pages."""
-    return word_count(spark, path)
+    return word_count(spark, path, tasks=tasks)
 
 
 @program
-def html_word_count(spark: SparkSession, path: str) -> DataFrame:
-    return words.markup_word_count(readers.spread(readers.read_text(spark, path)))
+def html_word_count(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    return words.markup_word_count(readers.spread(readers.read_text(spark, path), tasks))
 
 
 # Order lines.
@@ -134,6 +140,11 @@ def customer_order_total(spark: SparkSession, path: str, keep_zero: bool = True)
     return totals if keep_zero else totals.filter(F.col("total") != 0)
 
 
+@program
+def customer_order_total_nonzero(spark: SparkSession, path: str) -> DataFrame:
+    return customer_order_total(spark, path, keep_zero=False)
+
+
 # Transit.
 
 
@@ -216,28 +227,34 @@ def avg_trip_price(spark: SparkSession, path: str) -> DataFrame:
 
 
 @program
-def top_hosts(spark: SparkSession, path: str) -> DataFrame:
-    return listings.top_hosts(readers.read_listings(spark, path))
+def top_hosts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return listings.top_hosts(readers.read_listings(spark, path, multi_line))
 
 
 @program
 def cheapest_listings(
-    spark: SparkSession, path: str, room_type: str = DEFAULT_ROOM_TYPE, k: int = TOP_ROWS
+    spark: SparkSession,
+    path: str,
+    room_type: str = DEFAULT_ROOM_TYPE,
+    k: int = TOP_ROWS,
+    multi_line: bool = True,
 ) -> DataFrame:
-    return listings.cheapest_listings(readers.read_listings(spark, path), room_type, k)
+    return listings.cheapest_listings(readers.read_listings(spark, path, multi_line), room_type, k)
 
 
 @program
-def room_type_share(spark: SparkSession, path: str) -> DataFrame:
-    return listings.room_type_share(readers.read_listings(spark, path))
+def room_type_share(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return listings.room_type_share(readers.read_listings(spark, path, multi_line))
 
 
 @program
-def neighbourhood_centroid(spark: SparkSession, path: str) -> DataFrame:
-    return listings.neighbourhood_centroid(readers.read_listings(spark, path))
+def neighbourhood_centroid(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    return listings.neighbourhood_centroid(readers.read_listings(spark, path, multi_line))
 
 
 @program
-def listing_word_count(spark: SparkSession, path: str, min_count: int = 101) -> DataFrame:
-    descriptions = readers.read_listings(spark, path)
+def listing_word_count(
+    spark: SparkSession, path: str, min_count: int = 101, multi_line: bool = True
+) -> DataFrame:
+    descriptions = readers.read_listings(spark, path, multi_line)
     return words.description_word_count(descriptions, "description", min_count)

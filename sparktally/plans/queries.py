@@ -111,8 +111,11 @@ def customer_profit_distinct(tables: Tables) -> DataFrame:
 
 @query
 def sales_by_date_category(tables: Tables) -> DataFrame:
-    lines = tables.categorized_amounts().join(tables.orders(), "order_id")
-    totals = total_by(lines, ["order_date", "category"], bit_parts("amount"))
+    # Totals per order and category first, so that the order join sees no hot order.
+    parts = bit_parts("amount")
+    per_order = total_by(tables.categorized_amounts(), ["order_id", "category"], parts)
+    dated = per_order.join(tables.orders(), "order_id")
+    totals = total_by(dated, ["order_date", "category"], {name: name for name in parts})
     return total_in_currency(totals, "sales_amount", AMOUNT_DIGITS)
 
 
@@ -199,6 +202,19 @@ def customer_order_total(tables: Tables) -> DataFrame:
     return total_in_currency(totals, "total", AMOUNT_DIGITS)
 
 
+@query
+def customer_order_total_nonzero(tables: Tables) -> DataFrame:
+    """Bulk orders by customer, without the customers who have none."""
+    totals = total_by_lookup(
+        tables.bulk_orders(),
+        tables.customers(),
+        on="customer_id",
+        by=["customer_id", "customer_name"],
+        totals=bit_parts("total_price"),
+    )
+    return total_in_currency(totals, "total", 0).filter(F.col("total") != 0)
+
+
 # Transit.
 
 
@@ -311,15 +327,15 @@ def neighbourhood_centroid(tables: Tables) -> DataFrame:
 @query
 def sql_sales_by_date_state(tables: Tables) -> DataFrame:
     placed = tables.orders().join(tables.states(), "customer_id")
-    lines = tables.decimal_lines().join(placed, "order_id")
-    return with_double(statements.sales_by(lines, "order_date", "state"), "sales_amount")
+    sales = statements.sales_by_date_and(tables.decimal_lines(), placed, "state")
+    return with_double(sales, "sales_amount")
 
 
 @query
 def sql_sales_by_date_category(tables: Tables) -> DataFrame:
     lines = tables.decimal_lines().join(tables.products(), "product_id")
-    lines = lines.join(tables.orders(), "order_id")
-    return with_double(statements.sales_by(lines, "order_date", "category"), "sales_amount")
+    sales = statements.sales_by_date_and(lines, tables.orders(), "category")
+    return with_double(sales, "sales_amount")
 
 
 @query

@@ -7,8 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Grouping by all selected columns cannot name a column that is not shown.
-SALES_BY = "SELECT {keys}, sum(sales * quantity) AS sales_amount FROM {{lines}} GROUP BY ALL"
+# Lines are totalled per order before they meet it: an order with very many lines then joins
+# as one row. Grouping by all selected columns cannot name a column that is not shown.
+SALES_BY_DATE_AND = """
+SELECT order_date, {key}, sum(amount) AS sales_amount
+FROM (SELECT order_id{line_key}, sum(sales * quantity) AS amount FROM {{lines}} GROUP BY ALL)
+JOIN {{orders}} USING (order_id)
+GROUP BY ALL
+"""
 
 ORDER_PRODUCTS = """
 SELECT order_id, count(DISTINCT product_id) AS distinct_products,
@@ -31,9 +37,11 @@ JOIN {customers} USING (customer_id)
 """
 
 
-def sales_by(lines: DataFrame, *keys: str) -> DataFrame:
-    """Sales amount grouped by the given columns, such as date and state."""
-    return lines.sparkSession.sql(SALES_BY.format(keys=", ".join(keys)), lines=lines)
+def sales_by_date_and(lines: DataFrame, orders: DataFrame, key: str) -> DataFrame:
+    """Sales amount by date and a column of the orders (such as state) or lines (category)."""
+    line_key = f", {key}" if key in lines.columns else ""
+    text = SALES_BY_DATE_AND.format(key=key, line_key=line_key)
+    return lines.sparkSession.sql(text, lines=lines, orders=orders)
 
 
 def order_products(lines: DataFrame) -> DataFrame:

@@ -7,17 +7,13 @@ leaving out the others changes no row.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from sparktally.constants import SHORT_DATE
 from sparktally.functions.dates import field
 from sparktally.functions.numbers import exact_amount, number_or_zero, scaled
 from sparktally.operators.orders import with_parsed_date
-from sparktally.sources.readers import spread
 
 # Identifies a line: the line number alone repeats within an order.
 LINE_KEY = ["order_id", "line_number", "product_id", "supplier_id", "sales"]
@@ -27,6 +23,12 @@ LINE_KEY = ["order_id", "line_number", "product_id", "supplier_id", "sales"]
 AMOUNT_DIGITS = 2
 LINE_DIGITS = 4
 
+# Stops that make a hub.
+HUB_STOPS = 8
+
+# Orders count in bulk by whole multiples of this amount; many customers have none.
+BULK_AMOUNT = 400_000
+
 
 class Tables:
     """The Parquet tables of one folder."""
@@ -36,8 +38,7 @@ class Tables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}.parquet"
-        return self.spark.read.schema(table_schema(self.spark, path)).parquet(path)
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # Order lines.
 
@@ -68,6 +69,11 @@ class Tables:
             F.col("o_orderpriority").alias("priority"),
         )
 
+    def bulk_orders(self) -> DataFrame:
+        """Orders with their price in whole multiples of ``BULK_AMOUNT``, mostly 0."""
+        multiples = F.floor(F.col("total_price") / BULK_AMOUNT)
+        return self.orders().withColumn("total_price", multiples)
+
     def dated_orders(self) -> DataFrame:
         """Orders whose date is read from ``M/d/yy`` text; orders without a valid one are left out."""
         text = F.date_format("order_date", SHORT_DATE)
@@ -119,8 +125,8 @@ class Tables:
         return self.departures(F.col("user_id"))
 
     def hub_departures(self) -> DataFrame:
-        """Departures of 20 busy stops, so that every traffic class occurs."""
-        return self.departures(F.col("user_id") % 20)
+        """Departures of hubs of eight stops each, so that every traffic class occurs at any scale."""
+        return self.departures(F.expr(f"user_id div {HUB_STOPS}"))
 
     # Taxi trips.
 
@@ -180,16 +186,10 @@ class Tables:
     # Texts.
 
     def documents(self) -> DataFrame:
-        return spread(self.read("documents").select("text"))
+        return self.read("documents").select("text")
 
     def pages(self) -> DataFrame:
-        return spread(self.read("pages").select("html"))
-
-
-@cache
-def table_schema(spark: SparkSession, path: str) -> StructType:
-    """The schema in the table's files, looked up once per session instead of per query."""
-    return spark.read.parquet(path).schema
+        return self.read("pages").select("html")
 
 
 def line_amount() -> Column:

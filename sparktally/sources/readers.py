@@ -41,9 +41,9 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 def read_listings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Comma-separated listings under a header; quoted fields may hold commas and newlines.
 
-    A row with a wrong number of fields or without an id is left out; a value that is no
-    number is NULL. A file with newlines inside fields cannot be split, so one task reads it: keep such
-    files small and many, or turn ``multi_line`` off where no field spans lines.
+    A row with a wrong number of fields is left out; a value that is no number is NULL. A file
+    with newlines inside fields cannot be split, so one task reads it: keep such files small
+    and many, or turn ``multi_line`` off where no field spans lines.
     """
     options = {
         "multiLine": multi_line,
@@ -52,7 +52,9 @@ def read_listings(spark: SparkSession, path: str, multi_line: bool = True) -> Da
         "columnPruning": False,
     }
     raw = _read_delimited(spark, path, schemas.LISTINGS, **options)
-    rows = raw.filter(F.col("malformed").isNull() & F.col("id").isNotNull()).drop("malformed")
+    # Spark refuses to filter on the malformed column alone, so the id (any or none) goes with it.
+    any_id = F.length(F.concat_ws("", "id")) >= 0
+    rows = raw.filter(F.col("malformed").isNull() & any_id).drop("malformed")
     return rows.withColumns(
         {name: number_or_null(name, kind) for name, kind in schemas.LISTING_TYPES.items()}
     )
@@ -79,12 +81,10 @@ def _read_piped(spark: SparkSession, path: str, schema: str, files: str) -> Data
     return piped.schema(schema).csv(path).drop("line_end")
 
 
-def spread(records: DataFrame) -> DataFrame:
-    """A plain scan over more tasks, if it has fewer than two splits per core.
+def spread(records: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The records over ``tasks`` tasks; by default the plain scan.
 
-    For work that costs far more than reading, such as splitting texts. A scan with enough
-    splits, as of any large table, is returned as it is; only a small one, or one of few
-    files that cannot be split, is redistributed, to a number of tasks that suits its size.
+    For work that costs far more than reading, such as splitting texts, over few files that
+    cannot be split. The caller decides; nothing is measured.
     """
-    enough = 2 * records.sparkSession.sparkContext.defaultParallelism
-    return records if records.rdd.getNumPartitions() >= enough else records.hint("rebalance")
+    return records.repartition(tasks) if tasks else records

@@ -1,15 +1,16 @@
 """Column types of the input files, by position.
 
-Amounts are decimals, so that their sums are exact. Text that does not fit its type
-becomes NULL; the rest of the row is kept.
+Amounts are decimals, so that their sums are exact, with ten decimals, so that none are lost
+before values are truncated. Text that does not fit its type becomes NULL; the rest of the
+row is kept.
 """
 
 ORDER_LINES = """
     row_id STRING, order_id STRING, order_date STRING, ship_date STRING, ship_mode STRING,
     customer_id STRING, customer_name STRING, segment STRING, country STRING, city STRING,
     state STRING, postal_code STRING, region STRING, product_id STRING, category STRING,
-    sub_category STRING, product_name STRING, sales DECIMAL(18,4), quantity INT,
-    discount DECIMAL(18,4), profit DECIMAL(18,4)
+    sub_category STRING, product_name STRING, sales DECIMAL(24,10), quantity INT,
+    discount DECIMAL(24,10), profit DECIMAL(24,10)
 """
 
 # A line of these two ends in a delimiter; the last column takes what follows it.
@@ -31,8 +32,8 @@ DEPARTURES = """
 TRIPS = """
     vendor_id STRING, pickup TIMESTAMP_NTZ, dropoff TIMESTAMP_NTZ, passengers INT,
     distance DOUBLE, rate_code STRING, stored STRING, zone_id INT, dropoff_zone_id INT,
-    payment_type INT, fare DECIMAL(12,2), extra DECIMAL(12,2), tax DECIMAL(12,2),
-    tip DECIMAL(12,2), tolls DECIMAL(12,2), surcharge DECIMAL(12,2), total DECIMAL(12,2)
+    payment_type INT, fare DECIMAL(24,10), extra DECIMAL(24,10), tax DECIMAL(24,10),
+    tip DECIMAL(24,10), tolls DECIMAL(24,10), surcharge DECIMAL(24,10), total DECIMAL(24,10)
 """
 
 ZONES = "zone_id INT, borough STRING, zone STRING, service_zone STRING"
@@ -51,5 +52,5 @@ LISTING_TYPES = {
     "host_id": "bigint",
     "lat": "double",
     "lon": "double",
-    "price": "decimal(12,2)",
+    "price": "decimal(24,10)",
 }

@@ -48,7 +48,8 @@ def comparable(columns, rows):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
