@@ -8,7 +8,8 @@ Words are ordered by rarity: their class of frequency over all lines (powers of
 in ``COUNTERS`` hash buckets, a table of fixed size), then their hash. Two matching sets of n
 and m words share a word among their first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 (prefix
 filter); their sizes are within 0.8 of each other (length filter); and the first common word
-must leave enough words on both sides (positional filter). What passes is verified on the
+must leave enough words on both sides (positional filter). Sets whose parities (a bit per hash
+of words) differ in more bits than matching sets differ in words are out as well. What passes is verified on the
 words themselves, which are read again for the lines concerned only.
 
 Defined cases: a NULL text has no lines; lines without words are never removed. Rows with the
@@ -82,13 +83,27 @@ def line_sets(docs: DataFrame, id_column: str, text_column: str, classes: bytes)
         F.xxhash64(F.lit(1), "keys").alias("b"),
         F.xxhash64("line").alias("line_hash"),
         n.alias("n"),
+        parity("keys").alias("parity"),
         prefix.alias("prefix"),
     )
 
 
+def parity(keys: str) -> Column:
+    """64 bits, each set if an odd number of the keys falls on it.
+
+    Two sets differ in at least as many words as their parities differ in bits.
+    """
+    one = F.lit(1).cast("bigint")
+
+    def turned(bits: Column, key: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int")))
+
+    return F.aggregate(keys, F.lit(0).cast("bigint"), turned)
+
+
 def candidate_pairs(sets: DataFrame) -> DataFrame:
-    """Pairs of sets that the prefix, length and positional filters let pass."""
-    rows = sets.select("a", "b", "n", F.posexplode("prefix").alias("place", "key"))
+    """Pairs of sets that the prefix, length, positional and parity filters let pass."""
+    rows = sets.select("a", "b", "n", "parity", F.posexplode("prefix").alias("place", "key"))
     left = rows.select(*[F.col(c).alias(f"l_{c}") for c in rows.columns])
     right = rows.select(*[F.col(c).alias(f"r_{c}") for c in rows.columns])
     smaller, larger = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
@@ -99,7 +114,8 @@ def candidate_pairs(sets: DataFrame) -> DataFrame:
             (F.col("l_key") == F.col("r_key"))
             & (F.struct("l_a", "l_b") < F.struct("r_a", "r_b"))
             & (smaller * 5 >= larger * 4)
-            & (after * 9 >= (F.col("l_n") + F.col("r_n")) * 4),
+            & (after * 9 >= (F.col("l_n") + F.col("r_n")) * 4)
+            & (F.bit_count(F.col("l_parity").bitwiseXOR(F.col("r_parity"))) * 9 <= F.col("l_n") + F.col("r_n")),
         )
         .select("l_a", "l_b", "r_a", "r_b")
         .distinct()
@@ -134,6 +150,7 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
         lines.groupBy("a", "b").agg(
             F.min(F.struct("id", "line_no", "line_hash")).alias("first"),
             F.first("n").alias("n"),
+            F.first("parity").alias("parity"),
             F.first("prefix").alias("prefix"),
             F.count("*").alias("rows"),
         ),
