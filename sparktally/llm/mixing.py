@@ -43,8 +43,12 @@ class Mix:
     slots: DataFrame
 
     def taken_pieces(self) -> DataFrame:
-        """The mix itself: for each slot of each shard the pieces of documents that fill it."""
-        return self.slots.join(self.pieces, ["key", "block"])
+        """The mix itself: for each slot of each shard the pieces of documents that fill it.
+
+        Slots grow with the corpus, though Spark takes them for as few as the sources they
+        come from; the hint keeps them from being broadcast.
+        """
+        return self.slots.hint("merge").join(self.pieces, ["key", "block"])
 
     def taken(self) -> DataFrame:
         """Each document with ``taken``, the words that the mix takes from it."""
