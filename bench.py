@@ -17,7 +17,7 @@ from sparktally.session import build_session
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def main(names: list[str]) -> None:
@@ -34,15 +34,17 @@ def main(names: list[str]) -> None:
         QUERIES[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    times = {}
+    times, spread = {}, {}
     for name in names or QUERIES:
         runs = [seconds(name) for _ in range(2 + RUNS)]
         times[name] = round(statistics.median(runs[2:]), 4)
+        spread[name] = [round(min(runs[2:]), 4), round(max(runs[2:]), 4)]
     result = {
         "metric": "sum of the median seconds of all queries",
         "value": round(sum(times.values()), 4),
         "unit": "sec",
         "queries": times,
+        "min_max": spread,
         "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
         "cpus": CPUS,
         "runs": RUNS,
