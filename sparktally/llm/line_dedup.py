@@ -101,27 +101,43 @@ def parity(keys: str) -> Column:
     return F.aggregate(keys, F.lit(0).cast("bigint"), turned)
 
 
-def candidate_pairs(sets: DataFrame) -> DataFrame:
-    """Pairs of sets that the prefix, length, positional and parity filters let pass."""
-    rows = sets.select("a", "b", "n", "parity", F.posexplode("prefix").alias("place", "key"))
-    left = rows.select(*[F.col(c).alias(f"l_{c}") for c in rows.columns])
-    right = rows.select(*[F.col(c).alias(f"r_{c}") for c in rows.columns])
-    smaller, larger = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
-    after = F.least(F.col("l_n") - F.col("l_place"), F.col("r_n") - F.col("r_place"))
+def prefix_rows(sets: DataFrame, side: str) -> DataFrame:
+    """One row per prefix token of the sets, with ``side`` before the names of its columns."""
+    rows = sets.select("a", "b", "n", "parity", "first", F.posexplode("prefix").alias("place", "key"))
+    return rows.select(*[F.col(c).alias(side + c) for c in rows.columns])
+
+
+def passing() -> Column:
+    """The length, positional and parity filters on rows with one prefix token in common."""
+    n, m = F.col("l_n"), F.col("r_n")
+    after = F.least(n - F.col("l_place"), m - F.col("r_place"))
+    apart = F.bit_count(F.col("l_parity").bitwiseXOR(F.col("r_parity")))
     return (
-        left.join(
-            right,
-            (F.col("l_key") == F.col("r_key"))
-            & (F.struct("l_a", "l_b") < F.struct("r_a", "r_b"))
-            & (smaller * 5 >= larger * 4)
-            & (after * 9 >= (F.col("l_n") + F.col("r_n")) * 4)
-            & (F.bit_count(F.col("l_parity").bitwiseXOR(F.col("r_parity"))) * 9 <= F.col("l_n") + F.col("r_n")),
-        )
-        .select("l_a", "l_b", "r_a", "r_b")
-        .distinct()
+        (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & (after * 9 >= (n + m) * 4) & (apart * 9 <= n + m)
     )
 
 
+def pairs_with_first(sets: DataFrame) -> DataFrame:
+    """Pairs of a set and the earliest one that has a prefix token in common with it.
+
+    At most one pair per prefix token, whatever the size of a group of near copies.
+    """
+    rows = prefix_rows(sets, "l_")
+    columns = ["first", "a", "b", "n", "parity", "place"]
+    earliest = F.min(F.struct(*[F.col(f"l_{c}").alias(f"r_{c}") for c in columns]))
+    pivots = rows.groupBy("l_key").agg(earliest.alias("pivot"), F.count("*").alias("sets"))
+    pivots = stored(pivots.filter("sets > 1").select("l_key", "pivot.*"), "line-pivots")
+    joined = rows.join(pivots, "l_key").filter(F.struct("l_a", "l_b") != F.struct("r_a", "r_b"))
+    return joined.filter(passing()).select("l_a", "l_b", "r_a", "r_b").distinct()
+
+
+def pairs_with_earlier(sets: DataFrame, still_open: DataFrame) -> DataFrame:
+    """Pairs of the sets that are still open with all earlier ones."""
+    left, right = prefix_rows(still_open, "l_"), prefix_rows(sets, "r_")
+    earlier = (F.col("l_key") == F.col("r_key")) & (F.col("r_first") < F.col("l_first"))
+    return left.join(right, earlier & passing()).select("l_a", "l_b", "r_a", "r_b").distinct()
+
+
 def line_filter(hashes: DataFrame) -> bytes:
     """A table of ``FILTER_WORDS`` bytes with a bit for each line hash."""
     place = F.pmod("line_hash", F.lit(FILTER_WORDS)).cast("int")
@@ -142,23 +158,14 @@ def may_be_in(line_hash: Column, table: bytes) -> Column:
     return F.shiftright(bits.bitwiseAND(F.call_function("shiftleft", F.lit(1), shift)), 0) > 0
 
 
-def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id``, ``line_no`` and ``reason`` (same or similar) of every line to remove."""
-    classes = frequency_classes(lines_of(docs, id_column, text_column))
-    lines = line_sets(docs, id_column, text_column, classes)
-    sets = stored(
-        lines.groupBy("a", "b").agg(
-            F.min(F.struct("id", "line_no", "line_hash")).alias("first"),
-            F.first("n").alias("n"),
-            F.first("parity").alias("parity"),
-            F.first("prefix").alias("prefix"),
-            F.count("*").alias("rows"),
-        ),
-        "line-sets",
-    )
-    pairs = stored(candidate_pairs(sets), "line-pairs")
+def matched(
+    docs: DataFrame, sets: DataFrame, candidates: DataFrame, id_column: str, text_column: str
+) -> DataFrame:
+    """``a``, ``b`` of the left sets that match their right, earlier set.
 
-    # Verification: the words of the sets concerned, from the first line of each.
+    Verified on the words of the sets concerned, which come from the first line of each.
+    """
+    pairs = stored(candidates, "line-pairs")
     ends = pairs.select(F.col("l_a").alias("a"), F.col("l_b").alias("b")).union(
         pairs.select("r_a", "r_b")
     )
@@ -182,13 +189,32 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .join(right, ["r_a", "r_b"])
         .filter(common * 9 >= (F.size("l_words") + F.size("r_words")) * 4)
     )
-    l_place, r_place = F.struct("l_first.id", "l_first.line_no"), F.struct("r_first.id", "r_first.line_no")
-    left_later = r_place < l_place
     # Sets whose first lines share a place (in rows with one id) do not remove each other.
-    later = alike.filter(l_place != r_place).select(
-        F.when(left_later, F.col("l_a")).otherwise(F.col("r_a")).alias("a"),
-        F.when(left_later, F.col("l_b")).otherwise(F.col("r_b")).alias("b"),
-    ).distinct()
+    l_place, r_place = F.struct("l_first.id", "l_first.line_no"), F.struct("r_first.id", "r_first.line_no")
+    later = alike.filter(r_place < l_place)
+    return stored(later.select(F.col("l_a").alias("a"), F.col("l_b").alias("b")).distinct(), "line-matches")
+
+
+def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``id``, ``line_no`` and ``reason`` (same or similar) of every line to remove."""
+    classes = frequency_classes(lines_of(docs, id_column, text_column))
+    lines = line_sets(docs, id_column, text_column, classes)
+    sets = stored(
+        lines.groupBy("a", "b").agg(
+            F.min(F.struct("id", "line_no", "line_hash")).alias("first"),
+            F.first("n").alias("n"),
+            F.first("parity").alias("parity"),
+            F.first("prefix").alias("prefix"),
+            F.count("*").alias("rows"),
+        ),
+        "line-sets",
+    )
+    # Near copies are mostly found by their group's earliest set; only what is still open after
+    # that meets all earlier sets, so a group of near copies does not make all its pairs.
+    by_first = matched(docs, sets, pairs_with_first(sets), id_column, text_column)
+    still_open = sets.join(by_first, ["a", "b"], "left_anti")
+    by_others = matched(docs, sets, pairs_with_earlier(sets, still_open), id_column, text_column)
+    later = by_first.unionByName(by_others)
 
     known = sets.select("a", "b", "first", "rows").join(
         later.withColumn("similar", F.lit(True)), ["a", "b"], "left"
