@@ -44,7 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, rounded without bias."""
     return repeat_documents(docs, mix_sources(docs).taken())
 
 

@@ -29,6 +29,8 @@ SHARDS = 24
 PRIMES = (9_999_991, 9_999_973, 9_999_971)
 # Slots are generated in two steps of at most so many, not as one array per source.
 STEP = 65_536
+# Fractions of documents are added up exactly, in whole numbers of 1 / UNIT.
+UNIT = 1 << 24
 
 
 @dataclass
@@ -191,14 +193,49 @@ def slot_counts(mix: Mix) -> DataFrame:
     return mix.slots.groupBy("shard", "key").agg(F.count("*").alias("slots"))
 
 
+def whole_copies(taken: DataFrame, seed: int = 11) -> DataFrame:
+    """``taken`` with ``copies``, how often each document is repeated as a whole (0 to 3 times).
+
+    A document's rate, taken / size, is rounded up or down without bias: along the documents of
+    a source, in order of their lengths, the fractions add up from a seeded start, and each
+    whole number passed is one copy more. Neighbours are alike in length, so that the copies of
+    a source have about the words that the mix takes from it.
+    """
+    size_class = F.when(F.col("size") > 0, F.floor(F.log2("size") * 4)).otherwise(F.lit(-1))
+    part = F.coalesce(F.expr(f"(taken % size) * {UNIT}L div size"), F.lit(0).cast("bigint"))
+    rows = taken.withColumns(
+        {
+            "class": size_class,
+            "piece": F.pmod(F.xxhash64("key", "start"), F.lit(64)),
+            "part": F.when(F.col("size") > 0, part).otherwise(F.lit(0).cast("bigint")),
+        }
+    )
+    rows = stored(rows, "rates")
+    # Two levels again, as a source can have a third of all rows.
+    sums = rows.groupBy("key", "class", "piece").agg(F.sum("part").alias("parts"))
+    sums = sums.withColumn("earlier", running("parts", "key", "class, piece")).drop("parts")
+    shift = small_number(F.concat_ws("|", F.lit(f"{seed}|copies"), F.col("key"))) % UNIT
+    placed = rows.join(sums, ["key", "class", "piece"]).withColumn(
+        "before", F.col("earlier") + running("part", "key, class, piece", "start, size") + shift
+    )
+    copies = F.expr(f"(before + part) div {UNIT}L - before div {UNIT}L + coalesce(taken div nullif(size, 0), 0)")
+    return placed.withColumn("copies", copies.cast("int")).select(*taken.columns, "copies")
+
+
 def repeat_documents(docs: DataFrame, taken: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Whole documents, each as often as the mix takes its words, rounded (0 to 3 times).
+    """Whole documents, each as often as ``whole_copies`` says.
 
-    ``taken`` has ``id``, ``size`` and ``taken``. Rows with the same id share the mean of
-    their takes. The columns of ``docs`` stay as they are.
+    Rows with the same id share the mean of their takes. The columns of ``docs`` stay as they are.
     """
-    rate = (F.sum("taken") / F.sum("size")).alias("_rate")
-    rates = taken.filter("id IS NOT NULL AND size > 0").groupBy(F.col("id").alias("_id")).agg(rate)
-    copies = F.floor(F.col("_rate") + 0.5).cast("int")
-    joined = docs.join(rates, docs[id_column] == F.col("_id")).filter(copies > 0)
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy")
+    some = taken.filter("id IS NOT NULL AND size > 0").groupBy(F.col("id").alias("_id"))
+    same = some.agg(
+        F.min("key").alias("key"),
+        F.min("start").alias("start"),
+        F.sum("size").alias("size"),
+        F.sum("taken").alias("taken"),
+    )
+    rates = whole_copies(same).filter("copies > 0").select("_id", "copies")
+    joined = docs.join(rates, docs[id_column] == F.col("_id"))
+    return joined.select(
+        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")
+    ).drop("_copy")
