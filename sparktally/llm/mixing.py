@@ -116,7 +116,14 @@ def mix_sources(
     block_words: int = BLOCK_WORDS,
     shards: int = SHARDS,
     seed: int = 11,
+    row_column: str | None = None,
 ) -> Mix:
+    """The mix of ``docs``. With ``row_column``, a key of the rows, documents carry it as ``row``,
+    and those of one id, or of none, are in seeded order of their texts."""
+    keyed = [] if row_column is None else [F.col(row_column).alias("row")]
+    order = [F.lit(str(seed)), F.col(id_column).cast("string")]
+    if row_column is not None:
+        order.append(F.coalesce(F.xxhash64(text_column), F.lit(0)).cast("string"))
     source = F.col(source_column).cast("string")
     sized = stored(
         docs.select(
@@ -126,7 +133,8 @@ def mix_sources(
             F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0))
             .cast("bigint")
             .alias("size"),
-            F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_column).cast("string"))).alias("h"),
+            F.md5(F.concat_ws("|", *order)).alias("h"),
+            *keyed,
         ).withColumn("chunk", F.substring("h", 1, 3)),
         "sized",
     )
@@ -137,7 +145,7 @@ def mix_sources(
     documents = stored(
         sized.join(chunks.select("key", "chunk", "base"), ["key", "chunk"])
         .withColumn("start", F.col("base") + running("size", "key, chunk", "h, id, size"))
-        .select("id", "source", "key", "size", "start"),
+        .select("id", "source", "key", "size", "start", *(["row"] if keyed else [])),
         "started",
     )
     sizes = chunks.groupBy("key").agg(F.sum("words").alias("source_size"))
@@ -222,20 +230,15 @@ def whole_copies(taken: DataFrame, seed: int = 11) -> DataFrame:
     return placed.withColumn("copies", copies.cast("int")).select(*taken.columns, "copies")
 
 
-def repeat_documents(docs: DataFrame, taken: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Whole documents, each as often as ``whole_copies`` says.
+def repeat_documents(docs: DataFrame, taken: DataFrame, row_column: str) -> DataFrame:
+    """Whole documents, each as often as ``whole_copies`` says, without ``row_column``.
 
-    Rows with the same id share the mean of their takes. The columns of ``docs`` stay as they are.
+    ``row_column`` tells the rows of ``docs`` apart, and ``taken`` has it as ``row``; ids, which
+    can be NULL or repeated, play no part.
     """
-    some = taken.filter("id IS NOT NULL AND size > 0").groupBy(F.col("id").alias("_id"))
-    same = some.agg(
-        F.min("key").alias("key"),
-        F.min("start").alias("start"),
-        F.sum("size").alias("size"),
-        F.sum("taken").alias("taken"),
-    )
-    rates = whole_copies(same).filter("copies > 0").select("_id", "copies")
-    joined = docs.join(rates, docs[id_column] == F.col("_id"))
+    rates = whole_copies(taken).filter("copies > 0").select("row", "copies")
+    joined = docs.join(rates, docs[row_column] == F.col("row"))
     return joined.select(
-        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")
+        *[docs[c] for c in docs.columns if c != row_column],
+        F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"),
     ).drop("_copy")

@@ -377,17 +377,24 @@ def test_repeated_documents_meet_the_targets(spark):
     rows = [(k, "w " * (1500 if k % 3 else 40), f"s{k % 8 // 3}") for k in range(1200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
     taken = mixing.mix_sources(docs).taken().cache()
-    mixed = mixing.repeat_documents(docs, taken)
+    mixed = corpus_pipeline.mix(spark, docs, TABLES)
     size = F.size(F.split(F.trim("text"), " "))
     out = {(r.source, r.long): r.words for r in mixed.groupBy("source", (size > 640).alias("long")).agg(F.sum(size).alias("words")).collect()}
     for r in taken.groupBy("source", "target").agg(F.sum(F.when(F.col("size") > 640, F.col("taken"))).alias("long")).collect():
         assert out[r.source, True] + out[r.source, False] == pytest.approx(r.target, rel=0.05)
         assert out[r.source, True] == pytest.approx(r.long, rel=0.05)
     assert mixed.groupBy("doc_id").count().filter("count > 3").isEmpty()
-    again = mixing.repeat_documents(docs.repartition(5), mixing.mix_sources(docs.repartition(2)).taken())
+    again = corpus_pipeline.mix(spark, docs.repartition(5), TABLES)
     assert rows_of(again, "doc_id") == rows_of(mixed, "doc_id")
 
 
+def test_mixing_keeps_rows_without_an_id(spark):
+    rows = [(k if k % 3 else None, f"{k} " * 64, "s0", k) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    # A single source has its own size as its target: every document once.
+    assert rows_of(corpus_pipeline.mix(spark, docs, TABLES)) == sorted(rows, key=repr)
+
+
 # Decontamination
 
 
