@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents as often as the mix of sources takes them, rounded without bias; ids can be NULL."""
     # Stored, so that a row has the same key each time it is read.
     keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    return repeat_documents(keyed, mix_sources(keyed, row_column="_row").taken(), "_row")
+    return repeat_documents(keyed, mix_sources(keyed, row_column="_row", in_words=True).taken(), "_row")
 
 
 def shard(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -43,6 +43,7 @@ class Mix:
     sources: DataFrame
     pieces: DataFrame
     slots: DataFrame
+    block_words: int = BLOCK_WORDS
 
     def taken_pieces(self) -> DataFrame:
         """The mix itself: for each slot of each shard the pieces of documents that fill it.
@@ -50,7 +51,12 @@ class Mix:
         Slots grow with the corpus, though Spark takes them for as few as the sources they
         come from; the hint keeps them from being broadcast.
         """
-        return self.slots.hint("merge").join(self.pieces, ["key", "block"])
+        filled = self.slots.hint("merge").join(self.pieces, ["key", "block"])
+        if "room" not in self.slots.columns:
+            return filled
+        # The last slot of a source can be cut: what lies before the cut stays.
+        kept = F.least(F.col("words"), F.expr(f"room - (start + from - block * {self.block_words})"))
+        return filled.withColumn("words", kept).filter("words > 0").withColumn("to", F.expr("from + words")).drop("room")
 
     def taken(self) -> DataFrame:
         """Each document with ``taken``, the words that the mix takes from it."""
@@ -117,9 +123,15 @@ def mix_sources(
     shards: int = SHARDS,
     seed: int = 11,
     row_column: str | None = None,
+    in_words: bool = False,
 ) -> Mix:
     """The mix of ``docs``. With ``row_column``, a key of the rows, documents carry it as ``row``,
-    and those of one id, or of none, are in seeded order of their texts."""
+    and those of one id, or of none, are in seeded order of their texts.
+
+    A target is dealt in whole slots, as if each block were full, or with ``in_words`` to the
+    word: so many full passes over the source as fit its target, then slots of one more pass,
+    in which the partial block comes last, with the last slot cut.
+    """
     keyed = [] if row_column is None else [F.col(row_column).alias("row")]
     order = [F.lit(str(seed)), F.col(id_column).cast("string")]
     if row_column is not None:
@@ -150,7 +162,18 @@ def mix_sources(
     )
     sizes = chunks.groupBy("key").agg(F.sum("words").alias("source_size"))
     named = F.when(F.col("key") != "n", F.expr("substring(key, 2)"))
-    sources = stored(source_targets(sizes.withColumn("source", named), block_words), "sources")
+    sources = source_targets(sizes.withColumn("source", named), block_words)
+    if in_words:
+        rest = F.expr("CAST(round(target) AS BIGINT) % source_size")
+        passes = F.expr("CAST(round(target) AS BIGINT) div source_size")
+        dealt = passes * F.col("blocks") + F.ceil(rest / block_words)
+        sources = sources.withColumns(
+            {
+                "slots": F.when(F.col("source_size") > 0, dealt).otherwise(F.lit(0).cast("bigint")),
+                "cut": F.when(F.col("source_size") > 0, rest % block_words),
+            }
+        )
+    sources = stored(sources, "sources")
 
     last = F.expr(f"(start + size - 1) div {block_words}")
     first = F.expr(f"start div {block_words}")
@@ -172,20 +195,26 @@ def mix_sources(
         "slots",
         multiplier.alias("a"),
         shift.alias("b"),
+        *(["cut"] if in_words else []),
         F.explode(F.expr(f"sequence(0L, (slots - 1) div {STEP})")).alias("step"),
     )
     numbers = F.expr(f"sequence(step * {STEP}, least((step + 1) * {STEP}, slots) - 1)")
-    slots = steps.repartition("key", "step").select(
-        "key", "blocks", "a", "b", F.explode(numbers).alias("slot")
-    )
+    room = F.when((F.col("slot") == F.col("slots") - 1) & (F.col("cut") > 0), F.col("cut"))
+    numbered = steps.repartition("key", "step").select("*", F.explode(numbers).alias("slot"))
+    if in_words:
+        numbered = numbered.withColumn("room", F.coalesce(room, F.lit(block_words).cast("bigint")))
+    turn = F.col("slot") % F.col("blocks")
+    # The partial block is the last one of the source; this order ends each pass with it.
+    place = F.col("a") * (turn + 1) + F.col("blocks") - 1 if in_words else F.col("a") * turn + F.col("b")
     drawn = small_number(F.concat_ws("|", F.lit(str(seed)), F.col("key"), F.col("slot").cast("string")))
-    slots = slots.select(
+    slots = numbered.select(
         "key",
         "slot",
         (drawn % shards).cast("int").alias("shard"),
-        ((F.col("a") * (F.col("slot") % F.col("blocks")) + F.col("b")) % F.col("blocks")).alias("block"),
+        (place % F.col("blocks")).alias("block"),
+        *(["room"] if in_words else []),
     )
-    return Mix(documents, sources, pieces, slots)
+    return Mix(documents, sources, pieces, slots, block_words)
 
 
 def running(column: str, keys: str, order: str) -> Column:

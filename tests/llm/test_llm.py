@@ -395,6 +395,18 @@ def test_mixing_keeps_rows_without_an_id(spark):
     assert rows_of(corpus_pipeline.mix(spark, docs, TABLES)) == sorted(rows, key=repr)
 
 
+def test_targets_are_dealt_to_the_word(spark, odd, empty):
+    sizes = {"s0": [10], "s1": [20], "s2": [70], "s3": [200, 37], "s4": [3000, 2000], "s5": [1, 2], "s6": [20_000], "s7": [64]}
+    rows = [(None, "w " * n, s) for s, parts in sizes.items() for n in parts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for table in (docs, odd):
+        for r in mixing.mix_sources(table, in_words=True).taken().groupBy("key").agg(F.sum("taken").alias("n"), F.max("target").alias("target"), F.max(F.expr("taken / nullif(size, 0)")).alias("most")).collect():
+            assert r.n == round(r.target) and (r.most or 0) <= 3
+    assert mixing.mix_sources(empty, in_words=True).taken().count() == 0
+    copied = corpus_pipeline.mix(spark, odd, TABLES)
+    assert rows_of(copied.filter("doc_id IS NULL"), "text") == [("x y z",)] * 3
+
+
 # Decontamination
 
 
