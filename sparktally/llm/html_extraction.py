@@ -7,6 +7,10 @@ capacity to the sink). Neighbouring nodes, and nodes that follow one another in
 container, are tied by smoothness edges. The minimum cut, found by maximum flow, separates
 content from boilerplate.
 
+Classes, ids and roles named like boilerplate, and forms, mark what they hold. A mark is a finite
+cost of its blocks, paid once, and is lifted where it stands on a wrapper: on an element with more
+than half of the page's text, or with articles that have at least as much text as is unmarked.
+
 Defined cases: NULL and empty pages have an empty text. Unclosed and unmatched tags are
 closed as browsers would or ignored. Scripts, styles, comments and markup never give text;
 line breaks count as white space. Repeated pages are pages of their own, a NULL id or URL
@@ -45,10 +49,12 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements whose text is no part of an article.
 NEVER = frozenset(
-    "aside button dialog footer form head header iframe menu nav noscript option select svg "
+    "aside button dialog footer head header iframe menu nav noscript option select svg "
     "template textarea title".split()
 )
 ARTICLE = frozenset("article main".split())
+# Names that tell what a page has or is about, not what the element is.
+ABOUT = re.compile(r"(?:has|with|without|no|not|tag|category|cat)[-_]")
 # What an open element of this kind is closed by, besides its own end tag.
 CLOSED_BY = {
     "p": BLOCKS,
@@ -74,6 +80,7 @@ BOILERPLATE_NAMES = frozenset(
 CONTENT_NAMES = frozenset("article articlebody body content entry main post story text".split())
 
 SURE = 30.0  # capacity of what is boilerplate by its place
+NAMED = 9.0  # cost of a mark, above all that speaks for a block
 TIE = 1.0  # edge between nodes in sequence within one container
 NEAR = 0.4  # edge between neighbours
 
@@ -85,6 +92,10 @@ class Element:
     article: bool = False
     content: bool = False
     number: int = 0
+    marked: bool = False
+    articles: int = 0  # open elements of ARTICLE, this one not counted
+    first: int = 0  # its blocks: from here
+    last: int = 0  # to before here
 
 
 @dataclass
@@ -96,6 +107,8 @@ class Block:
     article: bool
     content: bool
     link_share: float
+    articles: int
+    marks: int = 0
 
 
 @dataclass
@@ -108,6 +121,7 @@ class Reader:
     linked: int = 0
     links: int = 0
     elements: int = 0
+    marked: list[Element] = field(default_factory=list)
 
     def text(self, raw: str) -> None:
         if raw:
@@ -126,7 +140,7 @@ class Reader:
             leaf = top.name if top.name in LEAVES else ""
             holder = next((e for e in reversed(self.stack) if e.name not in LEAVES), top)
             self.blocks.append(
-                Block(text, holder.number, leaf, top.never, top.article, top.content, self.linked / len(whole))
+                Block(text, holder.number, leaf, top.never, top.article, top.content, self.linked / len(whole), top.articles + (top.name in ARTICLE))
             )
         self.pieces, self.linked = [], 0
 
@@ -140,32 +154,44 @@ class Reader:
             return
         self.end_block()
         while len(self.stack) > 1 and name in CLOSED_BY.get(self.stack[-1].name, ()):
-            self.stack.pop()
+            self.close(len(self.stack) - 1)
         if name in VOID:
             return
         self.links = 0
         self.elements += 1
         above = self.stack[-1]
         boilerplate, content = name in NEVER, name in ARTICLE
+        marked = name == "form"
         if name == "header" and above.article:
             boilerplate = False  # the heading of the article itself
         if attributes and not attributes.isspace():
             for _, *values in ATTRIBUTE.findall(attributes):
-                names = set(NAME_PART.findall("".join(values).lower()))
-                boilerplate = boilerplate or not names.isdisjoint(BOILERPLATE_NAMES)
+                words = "".join(values).lower().split()
+                names = {part for w in words if not ABOUT.match(w) for part in NAME_PART.findall(w)}
+                marked = marked or not names.isdisjoint(BOILERPLATE_NAMES)
                 content = content or not names.isdisjoint(CONTENT_NAMES)
             boilerplate = boilerplate or bool(HIDDEN.search(attributes))
         if name in ("body", "html"):
-            boilerplate = content = False
-        self.stack.append(
-            Element(
-                name,
-                above.never or boilerplate,
-                above.article or (name in ARTICLE and not boilerplate),
-                above.content or (content and not boilerplate),
-                self.elements,
-            )
+            boilerplate = content = marked = False
+        element = Element(
+            name,
+            above.never or boilerplate,
+            above.article or (name in ARTICLE and not boilerplate),
+            above.content or (content and not boilerplate),
+            self.elements,
+            marked,
+            above.articles + (above.name in ARTICLE),
+            len(self.blocks),
         )
+        self.stack.append(element)
+        if marked:
+            self.marked.append(element)
+
+    def close(self, place: int) -> None:
+        """Closes the elements of the stack from ``place`` on."""
+        for element in self.stack[place:]:
+            element.last = len(self.blocks)
+        del self.stack[place:]
 
     def end(self, name: str) -> None:
         if name == "a":
@@ -175,9 +201,31 @@ class Reader:
         self.end_block()
         for place in range(len(self.stack) - 1, 0, -1):
             if self.stack[place].name == name:
-                del self.stack[place:]
+                self.close(place)
                 return
 
+    def lift_marks(self) -> None:
+        """Counts the marks of each block, without those that stand on wrappers.
+
+        Text is what is neither in links nor in elements without text of an article. From the
+        outside in, so that what is inside a lifted mark counts as unmarked.
+        """
+        own = [0.0 if b.never else len(b.text) * (1 - b.link_share) for b in self.blocks]
+        for element in self.marked:
+            for block in self.blocks[element.first : element.last]:
+                block.marks += 1
+        whole = sum(own)
+        unmarked = sum(n for n, b in zip(own, self.blocks, strict=True) if not b.marks)
+        for element in self.marked:
+            places = range(element.first, element.last)
+            held = sum(own[i] for i in places)
+            articles = sum(own[i] for i in places if self.blocks[i].articles > element.articles)
+            if 2 * held > whole or (articles > 0 and articles >= unmarked):
+                for i in places:
+                    self.blocks[i].marks -= 1
+                    if not self.blocks[i].marks:
+                        unmarked += own[i]
+
 
 def blocks_of(page: str) -> list[Block]:
     reader = Reader()
@@ -193,6 +241,8 @@ def blocks_of(page: str) -> list[Block]:
                 reader.start(name.lower(), token[4])
     reader.text(page[done:])
     reader.end_block()
+    reader.close(0)
+    reader.lift_marks()
     return reader.blocks
 
 
@@ -213,7 +263,7 @@ def content_score(block: Block, has_article: bool) -> float:
         score -= 4
     else:
         score += 1
-    return score
+    return score - NAMED if block.marks else score
 
 
 def source_side(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -280,7 +330,7 @@ def source_side(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
 def main_blocks(page: str | None) -> list[str]:
     """The texts of the content blocks, in page order."""
     blocks = blocks_of(page) if page else []
-    has_article = any(b.article and not b.never for b in blocks)
+    has_article = any(b.article and not b.never and not b.marks for b in blocks)
     nodes: list[list[int]] = []
     scores: list[float] = []
     containers: list[int] = []

@@ -269,6 +269,23 @@ def test_main_text():
     assert html_extraction.main_blocks("<p>unclosed " + "text " * 40) == ["unclosed " + ("text " * 40).strip()]
 
 
+def test_names_of_wrappers_do_not_drop_a_page():
+    text = "Plain words of an article that somebody wrote. " * 6
+    body, kept = f"<h1>Heading</h1><p>{text}</p><p>{text}</p>", ["Heading", text.strip(), text.strip()]
+    around = '<nav><a href=x>Home</a></nav><div class="sidebar"><p>Other things to read on this site.</p></div>'
+    for page in (
+        f"<div class='layout has-sidebar'><article>{body}</article></div>{around}",
+        f"<article class='post tag-social comments-open'>{body}</article>{around}",
+        f"<div class='search-page'><div id=header-banner>{around}<main>{body}</main></div></div>",
+        f"<form id=aspnetForm>{around}<article>{body}</article></form>",
+        f"<form><div>{around}<div>{body}</div></div></form>",
+        f"<div class='page with-sidebar'><div class=related-share>{body}</div></div>{around}",
+        f"<article>{body}</article><div id=comments><article class=comment><p>{text * 2}</p></article></div>",
+        f"<form><article>{body}</article><div class=related><article><p>Another one.</p></article></div></form>",
+    ):
+        assert html_extraction.main_blocks(page) == kept, page
+
+
 def test_minimum_cut_against_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(60):
