@@ -28,14 +28,21 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of copies the document with the smallest id; documents without an id stay."""
-    groups = duplicate_groups(docs)
-    dropped = groups.filter("id <> keep_id").select(F.col("id").alias("_id"))
-    left = docs.join(dropped, docs["doc_id"] == F.col("_id"), "left_anti")
-    # Rows repeated with one id are one document.
-    return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(
-        left.filter("doc_id IS NULL")
-    )
+    """Of each group of copies the document with the smallest id; documents without an id stay.
+
+    Rows are grouped by a key of their own: rows with one id but different texts are documents
+    like any other, those equal in id and text are copies. Among rows of a group with one id
+    the order of a hash of their texts decides.
+    """
+    # Stored, so that a row has the same key each time it is read.
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    named = keyed.filter("doc_id IS NOT NULL")
+    groups = duplicate_groups(named, id_column="_row")
+    order = named.select("_row", F.struct("doc_id", F.xxhash64("text"), "_row").alias("order"))
+    firsts = groups.join(order, groups["id"] == order["_row"]).groupBy("keep_id")
+    kept = firsts.agg(F.min("order").alias("first")).select(F.col("first._row").alias("_row"))
+    left = named.join(kept, "_row", "left_semi").unionByName(keyed.filter("doc_id IS NULL"))
+    return left.select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -477,6 +477,14 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, TABLES).count() == docs.count()
 
 
+def test_rows_with_one_id_and_different_texts_stay(spark):
+    apart = [f"{k}{k + 1} ".join("abcdefghijklmnopq") for k in range(3)]
+    rows = [(1, apart[0]), (1, apart[1]), (1, apart[0]), (2, apart[1]), (0, apart[2]), (None, apart[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = [(0, apart[2]), (1, apart[0]), (1, apart[1]), (None, apart[0])]
+    assert rows_of(corpus_pipeline.drop_near_duplicates(spark, docs, TABLES)) == sorted(expected, key=repr)
+
+
 def test_pipeline_of_odd_rows(spark, odd, empty):
     for docs in (odd.select(*DOCS.replace(" long", "").replace(" string", "").split(", ")), empty):
         for _, stage in corpus_pipeline.STAGES:
