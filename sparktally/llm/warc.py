@@ -8,7 +8,9 @@ with the smallest id, and revisits that refer to it.
 
 Defined cases: a NULL payload is empty; payloads below the minimum are all responses, but are
 stored once as well. A NULL id is the smallest only among NULL ids. Rows repeated with the same
-id and payload are records of their own and, if they are the smallest, all responses. A NULL
+id and payload are records of their own and, if they are the smallest, all responses. A later
+batch stores only payloads that the archive lacks, and its records of a payload with an earlier
+response are revisits to that. One writer at a time. A NULL
 URI gives a header without WARC-Target-URI. An empty table gives an empty archive. Columns
 other than id, URI and payload are not read.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +87,18 @@ class Archive:
     def headers(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/headers")
 
+    def responses(self, min_bytes: int) -> DataFrame | None:
+        """``digest``, ``earlier_id`` and ``earlier_seen`` of payloads with a response; None at first."""
+        try:
+            headers = self.headers()
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        first = headers.filter((F.col("record_type") == "response") & (F.col("bytes") >= min_bytes))
+        named = first.groupBy("digest").agg(F.min("id").alias("earlier_id"))
+        return stored(named.withColumn("earlier_seen", F.lit(True)), "responses")
+
     def write(
         self,
         pages: DataFrame,
@@ -93,7 +108,11 @@ class Archive:
         min_revisit_bytes: int = 100,
         date: str = WARC_DATE,
     ) -> None:
-        """Writes one record per row into an empty archive. The payload is text, kept in UTF-8."""
+        """Adds one record per row. The payload is text, kept in UTF-8.
+
+        A write that failed can be repeated: it leaves payloads at most, which are not stored again.
+        """
+        earlier = self.responses(min_revisit_bytes)
         payload = F.coalesce(F.col(payload_column), F.lit("")).cast("binary")
         rows = pages.select(
             F.col(id_column).alias("id"),
@@ -109,6 +128,9 @@ class Archive:
             F.count("*").alias("copies"),
             F.first("payload").alias("payload"),
         )
+        stored_before = self.spark.table(self.name).select("digest")
+        if not stored_before.isEmpty():
+            once = once.join(stored_before.hint("merge"), "digest", "left_anti")
         once.repartition(self.buckets, "digest").write.bucketBy(self.buckets, "digest").sortBy(
             "digest"
         ).option("compression", "zstd").format("parquet").mode("append").saveAsTable(self.name)
@@ -117,10 +139,19 @@ class Archive:
         narrow = stored(rows.drop("payload"), "records")
         firsts = narrow.groupBy("digest").agg(
             F.min("id").alias("first_id"), F.count("*").alias("copies")
-        )
+        ).withColumn("seen", F.lit(False))
+        if earlier is not None:
+            seen = F.col("earlier_seen").isNotNull()
+            firsts = firsts.join(earlier, "digest", "left").select(
+                "digest",
+                F.when(seen, F.col("earlier_id")).otherwise(F.col("first_id")).alias("first_id"),
+                "copies",
+                seen.alias("seen"),
+            )
         total = narrow.count()
         records = attach(narrow, stored(firsts, "firsts"), "digest", "copies", total)
-        again = (F.col("bytes") >= min_revisit_bytes) & ~F.col("id").eqNullSafe(F.col("first_id"))
+        other = F.col("seen") | ~F.col("id").eqNullSafe(F.col("first_id"))
+        again = (F.col("bytes") >= min_revisit_bytes) & other
         typed = records.withColumns(
             {
                 "record_type": F.when(again, F.lit("revisit")).otherwise(F.lit("response")),
@@ -137,13 +168,13 @@ class Archive:
             "copies",
             "hot",
             header_block(F.col("uri"), date).alias("header"),
-        ).write.parquet(f"{self.path}/headers")
+        ).write.mode("append").parquet(f"{self.path}/headers")
 
     def records(self) -> DataFrame:
         """Every record with its header block and its full payload, revisits included.
 
         Payloads are read bucket by bucket and not shuffled; the narrow headers go to them.
-        Payloads of hot digests (fewer than ``HOT_SHARE``) are dealt to several tasks instead.
+        Payloads of hot digests (fewer than ``HOT_SHARE`` a batch) are dealt to several tasks instead.
         """
         headers, payloads = self.headers(), self.payloads().select("digest", "copies", "payload")
         cold = headers.filter(~F.col("hot")).drop("copies")

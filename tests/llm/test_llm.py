@@ -109,6 +109,29 @@ def test_damaged_payloads_are_found(spark):
         archive.payloads().collect()
 
 
+def test_archive_of_two_batches(spark):
+    schema = "page_id long, url string, html string"
+    long, other = "x" * 200, "y" * 200
+    archive = new_archive(spark)
+    archive.write(spark.createDataFrame([(5, "a", long), (7, "b", "tiny")], schema), "page_id", "url", "html")
+    later = spark.createDataFrame([(1, "c", long), (2, "d", other), (3, "e", other), (4, "f", "tiny")], schema)
+    archive.write(later, "page_id", "url", "html")
+    assert archive.payloads().count() == 3
+    assert rows_of(archive.records(), "id", "record_type", "refers_to") == [
+        (1, "revisit", 5), (2, "response", None), (3, "revisit", 2),
+        (4, "response", None), (5, "response", None), (7, "response", None),
+    ]
+
+
+def test_an_interrupted_archive(spark):
+    """A write that stored payloads but no headers, repeated."""
+    page = spark.createDataFrame([(1, "u", "text")], "page_id long, url string, html string")
+    archive = new_archive(spark)
+    spark.sql(f"INSERT INTO {archive.name} SELECT unhex(sha2('text', 256)), 4L, 1L, CAST('text' AS BINARY)")
+    archive.write(page, "page_id", "url", "html")
+    assert archive.payloads().count() == 1 and archive.records().count() == 1
+
+
 def test_an_empty_archive(spark):
     archive = new_archive(spark)
     archive.write(spark.createDataFrame([], "page_id long, url string, html string"), "page_id", "url", "html")
