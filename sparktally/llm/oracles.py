@@ -162,10 +162,80 @@ mixed AS (
 
 OP8 = "WITH " + MIX.format(documents="documents") + "SELECT * FROM mixed"
 
+# Levels above the leaves of a source and above the sources' roots: up to a million documents
+# of a source, up to 4,096 sources.
+SOURCE_LEVELS, TOP_LEVELS = 5, 3
+
+
+def _written(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_written, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+def _levels(name: str, levels: int) -> str:
+    """The runs and nodes of each level above the relation ``name`` 0, and the way of each row."""
+    steps = []
+    for k in range(levels):
+        steps.append(f"""
+{name}_runs{k} AS (
+  SELECT tree, pos // 16 AS run, list(d ORDER BY pos) AS ds FROM {name}{k} WHERE n > 1 GROUP BY tree, pos // 16
+),
+{name}{k + 1} AS (
+  SELECT tree, run AS pos, sha256(array_to_string(ds, '')) AS d, count(*) OVER (PARTITION BY tree) AS n
+  FROM {name}_runs{k} UNION ALL SELECT tree, pos, d, n FROM {name}{k} WHERE n = 1
+),
+{name}_way{k + 1} AS (
+  SELECT r, tree, pos // 16 AS pos,
+    CASE WHEN ds IS NULL THEN cur ELSE sha256(before || cur || after) END AS cur,
+    proof || before || after AS proof
+  FROM (
+    SELECT w.*, ds, coalesce(array_to_string(ds[1:w.pos % 16], ''), '') AS before,
+      coalesce(array_to_string(ds[w.pos % 16 + 2:], ''), '') AS after
+    FROM {name}_way{k} AS w LEFT JOIN {name}_runs{k} AS u ON u.tree = w.tree AND u.run = w.pos // 16
+  )
+),""")
+    return "".join(steps)
+
+
+# CRC-32, one bit after the other, as the unsigned number.
+CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: list_transform(range(0, 8), lambda j: (ascii(c) >> j) & 1)))),
+    lambda s, b: xor(xor(s, b) >> 1, 3988292384 * (xor(s, b) & 1))))"""
+
+OP13 = f"""
+WITH leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN {CRC} % 5 = 0 THEN {_leaf(f"translate(text, {UPPER}, {LOWER})")} END AS offered
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+),
+s0 AS (SELECT tree, pos, leaf AS d, n FROM placed),
+s_way0 AS (SELECT r, tree, pos, coalesce(offered, leaf) AS cur, '' AS proof FROM placed),
+{_levels("s", SOURCE_LEVELS)}
+subroots AS (SELECT tree, d, row_number() OVER (ORDER BY tree) - 1 AS pos FROM s{SOURCE_LEVELS}),
+t0 AS (SELECT '' AS tree, pos, d, count(*) OVER () AS n FROM subroots),
+t_way0 AS (
+  SELECT r, '' AS tree, u.pos AS pos, cur, proof FROM s_way{SOURCE_LEVELS} AS w JOIN subroots AS u ON u.tree = w.tree
+),
+{_levels("t", TOP_LEVELS)}
+ended AS (SELECT d AS root FROM t{TOP_LEVELS})
+SELECT doc_id, leaf, u.d AS subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM placed AS p JOIN subroots AS u ON u.tree = p.tree JOIN t_way{TOP_LEVELS} AS w ON w.r = p.r, ended
+"""
+
 LLM_ORACLES = {
     "op1_warc": OP1,
     "op2_exact_dedup": OP2,
     "op5_line_dedup": OP5,
     "op8_mixing": OP8,
     "op9_decontamination": OP9,
+    "op13_merkle": OP13,
 }

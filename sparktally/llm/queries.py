@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import table
+from sparktally.llm.common import ascii_lower, table
 from sparktally.llm.decontamination import find_hits, hit_words
 from sparktally.llm.exact_dedup import new_index
 from sparktally.llm.html_extraction import extract_text
 from sparktally.llm.line_dedup import repeated_lines
+from sparktally.llm.merkle import Manifest, leaf_digest
 from sparktally.llm.mixing import mix_sources
 from sparktally.llm.quality import score_quality
 from sparktally.llm.sharding import shard_records
@@ -98,6 +99,21 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = table(spark, folder, "documents").select(*names)
+    *fields, text = [F.col(name) for name in names]
+    # A fifth of the texts, by id, is tampered with.
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    leaves = documents.select(
+        F.col("doc_id").cast("bigint").alias("id"),
+        "source",
+        leaf_digest([*fields, text]).alias("leaf"),
+        F.when(tampered, leaf_digest([*fields, ascii_lower(text)])).alias("offered"),
+    )
+    return Manifest(leaves).proofs("offered").withColumnRenamed("id", "doc_id")
+
+
 LLM_QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
@@ -109,4 +125,5 @@ LLM_QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op13_merkle": op13_merkle,
 }
