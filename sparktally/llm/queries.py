@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparktally.llm.bpe import decode, encode, read_vocabulary
 from sparktally.llm.common import ascii_lower, table
 from sparktally.llm.decontamination import find_hits, hit_words
 from sparktally.llm.exact_dedup import new_index
@@ -99,6 +101,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = encode(documents, vocabulary, public_tokenizers.PATTERN, keep=["doc_id"])
+    return decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     names = ["doc_id", "source", "lang", "n_chars", "text"]
     documents = table(spark, folder, "documents").select(*names)
@@ -125,5 +139,6 @@ LLM_QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op12_bpe": op12_bpe,
     "op13_merkle": op13_merkle,
 }
