@@ -162,6 +162,50 @@ mixed AS (
 
 OP8 = "WITH " + MIX.format(documents="documents") + "SELECT * FROM mixed"
 
+OP11 = rf"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {UPPER}, {LOWER}) AS t FROM documents
+),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+phrases AS (
+  SELECT lang, size, words, count(*) AS a FROM (
+    SELECT lang, size, list_slice(w, i, i + size - 1) AS words
+    FROM places, (SELECT unnest(range(1, 6)) AS size) AS sizes WHERE i + size - 1 <= len(w)
+  ) GROUP BY ALL
+),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM phrases WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT * FROM phrases WHERE a >= 100 AND size > 1),
+cuts AS (
+  SELECT c.lang, c.words, c.size, c.a, k, x.a AS l, y.a AS r, n,
+    CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) AS c
+  JOIN phrases AS x ON x.lang = c.lang AND x.words = list_slice(c.words, 1, k)
+  JOIN phrases AS y ON y.lang = c.lang AND y.words = list_slice(c.words, k + 1, c.size)
+  JOIN totals ON totals.lang = c.lang
+),
+weakest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS place FROM cuts)
+  WHERE place = 1
+),
+covered AS (
+  SELECT DISTINCT lang, list_slice(words, s, s + len - 1) AS words, a
+  FROM (SELECT lang, words, a, size, len, unnest(range(1, size - len + 2)) AS s
+    FROM candidates, (SELECT unnest(range(2, 5)) AS len) AS lens WHERE len < size)
+),
+ranked AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score
+  FROM weakest AS c WHERE NOT EXISTS (
+    SELECT 1 FROM covered WHERE covered.lang = c.lang AND covered.words = c.words AND 100 * covered.a >= 100 * c.a
+  )
+)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM ranked
+) WHERE rank <= 2000
+"""
+
 # Levels above the leaves of a source and above the sources' roots: up to a million documents
 # of a source, up to 4,096 sources.
 SOURCE_LEVELS, TOP_LEVELS = 5, 3
@@ -237,5 +281,6 @@ LLM_ORACLES = {
     "op5_line_dedup": OP5,
     "op8_mixing": OP8,
     "op9_decontamination": OP9,
+    "op11_collocations": OP11,
     "op13_merkle": OP13,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktally.llm.bpe import decode, encode, read_vocabulary
+from sparktally.llm.collocations import collocations
 from sparktally.llm.common import ascii_lower, table
 from sparktally.llm.decontamination import find_hits, hit_words
 from sparktally.llm.exact_dedup import new_index
@@ -101,6 +102,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -139,6 +144,7 @@ LLM_QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
     "op12_bpe": op12_bpe,
     "op13_merkle": op13_merkle,
 }
