@@ -179,7 +179,7 @@ def merged_filters(filters: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[
     places = np.empty(len(order), np.int64)
     places[order] = np.cumsum(starts) - 1
     firsts = np.flatnonzero(starts)
-    return [part[firsts] for part in parts], np.add.reduceat(counts, firsts), places
+    return [part[firsts] for part in parts], np.add.reduceat(counts[order], firsts), places
 
 
 # Blocks
