@@ -42,10 +42,10 @@ CHUNK = 32_768
 OVERLAP = 2_048
 # Characters that a cut may have looked beyond itself: three of a contraction, one of white space.
 GUARD = 4
-# Pieces whose ids a worker remembers.
-REMEMBERED = 500_000
-# Rows that pass through a Python worker at once.
-BATCH_TOKENS = 1 << 20
+# Pieces whose ids a worker remembers, some 300 bytes each.
+REMEMBERED = 1 << 17
+# Bytes of text, or of ids, that a worker holds as Python objects at once, besides one row.
+PORTION = 1 << 19
 
 OVERLAPS = "_row bigint, _chunk int, start bigint, head array<bigint>, tail array<bigint>"
 
@@ -90,6 +90,20 @@ def token_bytes(vocabulary: bytes) -> pa.Array:
     return pa.array(found, pa.large_binary())
 
 
+def portions(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``PORTION`` bytes of a column of texts or lists of int."""
+    values = batch.column(column)
+    is_list = pa.types.is_list(values.type)
+    sizes = pc.fill_null(pc.list_value_length(values) if is_list else pc.binary_length(values), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64) * (4 if is_list else 1))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PORTION, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def cuts_of(pieces: list[str], start: int) -> np.ndarray:
     """Where each piece starts, and the end of the last one."""
     return start + np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int64)])
@@ -135,21 +149,10 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = codec(vocabulary, pattern)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            done = 0
-            while done < batch.num_rows:
-                ids: list[list[int]] = []
-                tokens = 0
-                for text in texts[done:]:
-                    ids.append(found.ids(found.pieces(text.as_py() or "")))
-                    tokens += len(ids[-1])
-                    if tokens >= BATCH_TOKENS:
-                        break
-                part = batch.slice(done, len(ids))
-                arrays = [*part.columns[:-1], pa.array(ids, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "ids"])
-                done += len(ids)
+        for part in (part for batch in batches for part in portions(batch, "_text")):
+            ids = [found.ids(found.pieces(text.as_py() or "")) for text in part.column("_text")]
+            arrays = [*[part.column(c) for c in columns], pa.array(ids, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "ids"])
 
     short = carried.filter(~is_long).mapInArrow(whole, flat_schema)
 
@@ -159,8 +162,8 @@ def encode(
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
                 starts = chunk_starts(len(text), chunk)
-                # Some megabytes of chunks at a time.
-                for some in itertools.batched(starts, max(1, BATCH_TOKENS // chunk), strict=False):
+                # A portion of chunks at a time.
+                for some in itertools.batched(starts, max(1, PORTION // chunk), strict=False):
                     yield pa.RecordBatch.from_pydict(
                         {
                             "_row": pa.array([row] * len(some), pa.int64()),
@@ -203,16 +206,16 @@ def encode(
 
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = codec(vocabulary, pattern)
-        for batch in batches:
+        for part in (part for batch in batches for part in portions(batch, "text")):
             ids = []
-            for row in batch.select(["start", "text", "_from", "_upto"]).to_pylist():
+            for row in part.select(["start", "text", "_from", "_upto"]).to_pylist():
                 pieces = found.pieces(row["text"][row["_from"] - row["start"] :])
                 if row["_upto"] is not None:
                     # The stitch is a cut of this chunk as well.
                     pieces = pieces[: int(np.searchsorted(cuts_of(pieces, row["_from"]), row["_upto"]))]
                 ids.append(found.ids(pieces))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("_chunk"), pa.array(ids, pa.list_(pa.int32()))],
+                [part.column("_row"), part.column("_chunk"), pa.array(ids, pa.list_(pa.int32()))],
                 names=["_row", "_chunk", "ids"],
             )
 
@@ -250,13 +253,12 @@ def decode(rows: DataFrame, vocabulary: bytes, keep: list[str] | None = None) ->
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = token_bytes(vocabulary)
-        for batch in batches:
-            ids = batch.column(batch.num_columns - 1)
-            flat = tokens.take(ids.flatten())
+        for part in (part for batch in batches for part in portions(batch, "_ids")):
+            ids = part.column("_ids")
             sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), pa.int64())
-            lists = pa.LargeListArray.from_arrays(offsets, flat)
+            lists = pa.LargeListArray.from_arrays(offsets, tokens.take(ids.flatten()))
             decoded = pc.binary_join(lists, pa.scalar(b"", pa.large_binary())).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], decoded], names=[*keep, "decoded"])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], decoded], names=[*keep, "decoded"])
 
     return rows.select(*keep, F.col("ids").alias("_ids")).mapInArrow(joined, schema)
