@@ -22,21 +22,26 @@ an empty table, there are no rows. Columns other than language and text are not
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import numbered, stored
+from sparktally.llm.common import stored
 
 LONGEST = 5
 # Words of a block; a longer text is a block of its own. Small, so that a block and what its round
 # makes of it need tens of megabytes.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 21
+# Blocks whose words are merged in one task, on average; a block has some 100,000 different ones.
+WORD_BLOCKS = 8
 # Entries that a range of quotients holds at most, on average, over all blocks.
 RANGE_ENTRIES = 1 << 20
 PUNCTUATION = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -44,29 +49,46 @@ UPPER = bytes(range(65, 91))
 CLEANED = bytes.maketrans(UPPER + b"\t" + PUNCTUATION, UPPER.lower() + b" " + b"\n" * len(PUNCTUATION))
 BREAK = 0
 
-BLOCKS = "block bigint, lang string, words array<string>, counts array<bigint>, tokens binary"
-# Rows of a round: the state of a block (places and entries in it) or a part of its filter.
+BLOCKS = "block bigint, lang string, words array<string>, counts binary, tokens binary"
+# Parts of the words of a block, and what comes back: frequent words, or their numbers in a block.
+WORD_PARTS = "block bigint, lang string, part int, words array<string>, locals binary, counts binary"
+WORD_IDS = "block bigint, lang string, n bigint, words array<string>, locals binary, ids binary, counts binary"
+# Rows of a round: the state of a block or a part of its filter, which starts with entry ``base``.
 ROUNDS = (
-    "block bigint, lang string, part int, base bigint, tokens binary, places binary, entries binary, "
+    "block bigint, lang string, part int, base bigint, tokens binary, alive binary, "
     "quotients binary, remainders array<binary>, counts binary"
 )
+MERGED = "block bigint, lang string, entries binary, quotients binary, remainders array<binary>, counts binary"
+ARROW_TYPES = {
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "array<string>": pa.list_(pa.string()),
+    "array<binary>": pa.list_(pa.binary()),
+}
+
+
+def arrow_schema(columns: str) -> pa.Schema:
+    return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in (c.split() for c in columns.split(", "))])
 
 
 # Numbers in few bytes
 
 
 def squeezed(numbers: np.ndarray) -> bytes:
-    """Unsigned numbers in as many bytes each as the largest needs, after that number."""
+    """Unsigned numbers in as many bytes each as the largest needs, byte by byte, compressed."""
     most = int(numbers.max()) if len(numbers) else 0
     size = max(1, -(-most.bit_length() // 8))
     columns = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
-    return bytes([size]) + columns.tobytes()
+    return bytes([size]) + zstandard.compress(columns.T.tobytes(), 1)
 
 
 def unsqueezed(data: bytes) -> np.ndarray:
     size = data[0]
-    columns = np.zeros((len(data[1:]) // size, 8), np.uint8)
-    columns[:, :size] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, size)
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(size, -1)
+    columns = np.zeros((planes.shape[1], 8), np.uint8)
+    columns[:, :size] = planes.T
     return columns.view("<u8").reshape(-1).astype(np.uint64)
 
 
@@ -172,6 +194,8 @@ def merged_filters(filters: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[
     """The merged parts and counts, and for each entry of the filters, one after the other, its place."""
     parts = [np.concatenate(some) for some in zip(*[parts for parts, _ in filters], strict=True)]
     counts = np.concatenate([counts for _, counts in filters])
+    if not len(counts):
+        return parts, counts, np.zeros(0, np.int64)
     order = in_order(parts)
     parts = [part[order] for part in parts]
     starts = np.ones(len(order), bool)
@@ -182,6 +206,13 @@ def merged_filters(filters: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[
     return [part[firsts] for part in parts], np.add.reduceat(counts[order], firsts), places
 
 
+def phrases_of(tokens: np.ndarray, alive: np.ndarray, packing: Packing) -> tuple[np.ndarray, tuple]:
+    """Where phrases start whose two parts are alive, and their entries, as of ``merged_filters``."""
+    places = np.flatnonzero(alive[:-1] & alive[1:])
+    parts = packing.permuted(tokens[places[:, None] + np.arange(packing.size)])
+    return places, merged_filters([(parts, np.ones(len(places), np.uint64))])
+
+
 # Blocks
 
 
@@ -207,7 +238,7 @@ def numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 "block": pa.array([next(key)], pa.int64()),
                 "lang": pa.array([lang], pa.string()),
                 "words": pa.array([found], pa.list_(pa.string())),
-                "counts": pa.array([counts], pa.list_(pa.int64())),
+                "counts": pa.array([squeezed(counts)], pa.binary()),
                 "tokens": pa.array([squeezed(tokens)], pa.binary()),
             }
         )
@@ -224,114 +255,178 @@ def numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield block(lang)
 
 
+def dealt_words(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The words of each block in 2 ** bits parts, by hash."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (batch.slice(i, 1) for batch in batches for i in range(batch.num_rows)):
+            words, counts = row.column("words").flatten(), unsqueezed(row.column("counts")[0].as_py())
+            hashes = np.fromiter((zlib.crc32(w.encode()) for w in words.to_pylist()), np.int64, len(words))
+            parts = hashes >> (32 - bits)
+            order = np.argsort(parts, kind="stable")
+            ends = np.flatnonzero(np.diff(parts[order], append=-1)) + 1
+            rows = []
+            for some in (order[start:end] for start, end in itertools.pairwise([0, *ends])):
+                rows.append(
+                    {
+                        "block": row.column("block")[0].as_py(),
+                        "lang": row.column("lang")[0].as_py(),
+                        "part": int(parts[some[0]]),
+                        "words": words.take(pa.array(some)).to_pylist(),
+                        "locals": squeezed(some),
+                        "counts": squeezed(counts[some]),
+                    }
+                )
+            yield from pa.Table.from_pylist(rows, arrow_schema(WORD_PARTS)).to_batches()
+
+    return deal
+
+
+def merged_words(least: int, parts: int) -> Callable[[pa.Table], pa.Table]:
+    """The frequent words of a part with their numbers, and the numbers of each block's words.
+
+    Numbers start from 1 and tell the words of one language apart.
+    """
+
+    def merge(table: pa.Table) -> pa.Table:
+        rows = table.select(["block", "lang", "part", "locals", "counts"]).to_pylist()
+        lang, part = rows[0]["lang"], rows[0]["part"]
+        coded = table["words"].combine_chunks().flatten().dictionary_encode()
+        own = coded.indices.to_numpy()
+        counts = [unsqueezed(row["counts"]) for row in rows]
+        totals = np.zeros(len(coded.dictionary), np.uint64)
+        np.add.at(totals, own, np.concatenate(counts))
+        frequent = np.flatnonzero(totals >= least)
+        words = coded.dictionary.take(pa.array(frequent))
+        order = pc.sort_indices(words).to_numpy()
+        ids = np.zeros(len(totals), np.int64)
+        ids[frequent[order]] = np.arange(len(order)) * parts + part + 1
+        out = [
+            {
+                "lang": lang,
+                "n": int(totals.sum()),
+                "words": words.to_pylist(),
+                "ids": squeezed(ids[frequent]),
+                "counts": squeezed(totals[frequent]),
+            }
+        ]
+        done = 0
+        for row, some in zip(rows, counts, strict=True):
+            found = ids[own[done : done + len(some)]]
+            done += len(some)
+            if found.any():
+                places = unsqueezed(row["locals"])[found > 0]
+                out.append(
+                    {"block": row["block"], "lang": lang, "locals": squeezed(places), "ids": squeezed(found[found > 0])}
+                )
+        return pa.Table.from_pylist(out, arrow_schema(WORD_IDS))
+
+    return merge
+
+
+def listed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in (row for batch in batches for row in batch.to_pylist()):
+        size = len(row["words"])
+        yield pa.RecordBatch.from_pydict(
+            {
+                "lang": pa.array([row["lang"]] * size, pa.string()),
+                "word": pa.array(row["words"], pa.string()),
+                "id": pa.array(unsqueezed(row["ids"]).astype(np.int64), pa.int64()),
+                "a": pa.array(unsqueezed(row["counts"]).astype(np.int64), pa.int64()),
+            }
+        )
+
+
 class Rounds:
     """Counts of phrases, by length. ``least`` is the frequency that counts as frequent."""
 
     def __init__(self, docs: DataFrame, lang_column: str, text_column: str, least: int) -> None:
         self.least = least
         texts = docs.select(F.coalesce(lang_column, F.lit("und")).alias("lang"), F.col(text_column).alias("text"))
-        blocks = stored(texts.mapInArrow(numbered_blocks, BLOCKS), "phrase-blocks")
-        own = blocks.select(
-            "block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "found")
-        ).select("block", "lang", "local", F.col("found.words").alias("word"), F.col("found.counts").alias("n"))
-        per_word = stored(own.groupBy("lang", "word").agg(F.sum("n").alias("a")), "phrase-words")
-        # ``lang`` and ``n``, its words.
-        self.sizes = stored(per_word.groupBy("lang").agg(F.sum("a").alias("n")), "phrase-langs")
-        # ``lang``, ``word``, ``a`` and ``id``, from 1.
-        frequent = per_word.filter(F.col("a") >= least)
-        self.words = stored(numbered(frequent, ["lang", "word"], "id", "phrase-order").withColumn("id", F.col("id") + 1), "phrase-ids")
-        self.bits = max(1, self.words.count().bit_length())
-        most = self.sizes.agg(F.max("n")).first()[0] or 1
-        self.quotient_bits = int(most).bit_length()
-        self.packings = [Packing(size, self.bits, self.quotient_bits) for size in range(LONGEST + 1) if size > 1]
+        self.blocks = stored(texts.mapInArrow(numbered_blocks, BLOCKS), "phrase-blocks")
+        part_bits = (self.blocks.count() // WORD_BLOCKS).bit_length()
+        dealt = self.blocks.select("block", "lang", "words", "counts").mapInArrow(dealt_words(part_bits), WORD_PARTS)
+        self.found = stored(
+            dealt.groupBy("lang", "part").applyInArrow(merged_words(least, 1 << part_bits), WORD_IDS), "phrase-words"
+        )
+        merged = self.found.filter("block IS NULL")
+        # ``lang`` and ``n``, its words; and ``lang``, ``word``, ``id``, ``a`` of the frequent ones.
+        self.sizes = stored(merged.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-langs")
+        listed = merged.select("lang", "words", "ids", "counts")
+        self.words = stored(listed.mapInArrow(listed_words, "lang string, word string, id bigint, a bigint"), "phrase-ids")
+        bits = int(self.words.agg(F.max("id")).first()[0] or 1).bit_length()
+        most = int(self.sizes.agg(F.max("n")).first()[0] or 1)
+        self.packings = [Packing(size, bits, most.bit_length()) for size in range(2, LONGEST + 1)]
         # Filters are dealt by the first bits of the quotient; as many as the largest language needs.
         first = min(packing.widths[0] for packing in self.packings)
-        self.range_bits = min(first, max(0, (int(most) // RANGE_ENTRIES).bit_length()))
-        known = own.select("block", "lang", "local", "word").join(self.words.select("lang", "word", "id"), ["lang", "word"])
-        known = stored(known.select("block", "local", "id"), "phrase-known")
-        self.state = self._advanced(blocks.select("block", "lang", "tokens"), known, self._first(), 2)
+        self.range_bits = min(first, (most // RANGE_ENTRIES).bit_length())
 
     def _packing(self, size: int) -> Packing:
         return self.packings[size - 2]
 
-    def _advanced(self, blocks: DataFrame, found: DataFrame, step: Callable, size: int) -> DataFrame:
+    def _round(self, blocks: DataFrame, found: DataFrame, size: int) -> DataFrame:
+        """From blocks and what is frequent of them to their phrases of ``size`` words."""
+        step = self._first() if size == 2 else self._next(size)
         dealt = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(step, ROUNDS)
         return stored(dealt, f"phrase-round-{size}")
 
     def _first(self) -> Callable[[pa.Table, pa.Table], pa.Table]:
-        """From a block with its frequent words to its phrases of two words."""
         counted = self._counted(2)
 
         def step(block: pa.Table, known: pa.Table) -> pa.Table:
             if not block.num_rows:
-                return counted(None)
+                return arrow_schema(ROUNDS).empty_table()
             tokens = unsqueezed(block["tokens"][0].as_py()).astype(np.int64)
-            ids = np.zeros(int(tokens.max(initial=0)) + 1, np.int64)
-            ids[known["local"].to_numpy() + 1] = known["id"].to_numpy()
+            ids = np.zeros(int(tokens.max(initial=0)) + 1, np.uint64)
+            for row in known.to_pylist():
+                ids[unsqueezed(row["locals"]).astype(np.int64) + 1] = unsqueezed(row["ids"])
             tokens = ids[tokens]
-            return counted(block, tokens, np.where(tokens > BREAK, tokens, -1))
+            return counted(block, tokens, tokens != BREAK)
 
         return step
 
     def _next(self, size: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-        """From a block's phrases, and which of them are frequent, to those one word longer."""
-        counted = self._counted(size)
+        counted, packing = self._counted(size), self._packing(size - 1)
 
         def step(block: pa.Table, frequent: pa.Table) -> pa.Table:
             if not block.num_rows or not frequent.num_rows:
-                return counted(None)
-            tokens, places, entries = (
-                unsqueezed(block[name][0].as_py()).astype(np.int64) for name in ("tokens", "places", "entries")
-            )
-            kept = np.zeros(int(entries.max(initial=0)) + 1, bool)
+                return arrow_schema(ROUNDS).empty_table()
+            tokens = unsqueezed(block["tokens"][0].as_py())
+            before = np.frombuffer(zstandard.decompress(block["alive"][0].as_py()), np.uint8)
+            before = np.unpackbits(before, count=len(tokens)).astype(bool)
+            # The entries of the round before, in the same order.
+            places, (parts, _, entries) = phrases_of(tokens, before, packing)
+            kept = np.zeros(len(parts[0]), bool)
             for some in frequent["entries"].to_pylist():
                 kept[unsqueezed(some).astype(np.int64)] = True
-            alive = kept[entries]
-            grams = np.full(len(tokens), -1, np.int64)
-            grams[places[alive]] = entries[alive]
-            return counted(block, tokens, grams)
+            places = places[kept[entries]]
+            alive, covered = np.zeros(len(tokens), bool), np.zeros(len(tokens), bool)
+            alive[places] = True
+            for i in range(size - 1):
+                covered[places + i] = True
+            tokens[~covered] = BREAK
+            return counted(block, tokens, alive)
 
         return step
 
-    def _counted(self, size: int) -> Callable[..., pa.Table]:
-        """Counts the phrases of a block whose two parts have an entry in ``grams``."""
-        packing, shift = self._packing(size), self._packing(size).widths[0] - self.range_bits
-        keep_state = size < LONGEST
-        schema = pa.schema(
-            [
-                ("block", pa.int64()),
-                ("lang", pa.string()),
-                ("part", pa.int32()),
-                ("base", pa.int64()),
-                *[(name, pa.binary()) for name in ("tokens", "places", "entries", "quotients")],
-                ("remainders", pa.list_(pa.binary())),
-                ("counts", pa.binary()),
-            ]
-        )
+    def _counted(self, size: int) -> Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table]:
+        """The state of a block, and its filter of the phrases whose two parts are ``alive``."""
+        packing = self._packing(size)
+        shift, is_last = packing.widths[0] - self.range_bits, size == LONGEST
 
-        def counted(block: pa.Table | None, tokens: np.ndarray = None, grams: np.ndarray = None) -> pa.Table:
-            if block is None:
-                return schema.empty_table()
-            places = np.flatnonzero((grams[:-1] >= 0) & (grams[1:] >= 0))
-            if not len(places):
-                return schema.empty_table()
-            pairs = (grams[places] << 32) | grams[places + 1]
-            _, first, entry, counts = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
-            words = tokens[places[first][:, None] + np.arange(size)].astype(np.uint64)
-            parts = packing.permuted(words)
-            order = in_order(parts)
-            parts, counts = [part[order] for part in parts], counts[order]
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
+        def counted(block: pa.Table, tokens: np.ndarray, alive: np.ndarray) -> pa.Table:
+            places, (parts, counts, _) = phrases_of(tokens, alive, packing)
             names = {"block": block["block"][0].as_py(), "lang": block["lang"][0].as_py()}
-            state = {"tokens": squeezed(tokens), "places": squeezed(places), "entries": squeezed(rank[entry])}
-            rows = [{**names, **state}] if keep_state else []
+            rows = []
+            if len(places) and not is_last:
+                bits = zstandard.compress(np.packbits(alive).tobytes(), 1)
+                rows.append({**names, "tokens": squeezed(tokens), "alive": bits})
             dealt = (parts[0] >> np.uint64(shift)).astype(np.int64)
-            ends = np.flatnonzero(np.diff(dealt, append=-1)) + 1
+            ends = np.flatnonzero(np.diff(dealt, append=-1)) + 1 if len(places) else []
             for start, end in itertools.pairwise([0, *ends]):
                 some = written_filter([part[start:end] for part in parts], counts[start:end])
                 rows.append({**names, "part": int(dealt[start]), "base": int(start), **some})
-            return pa.Table.from_pylist(rows, schema)
+            return pa.Table.from_pylist(rows, arrow_schema(ROUNDS))
 
         return counted
 
@@ -342,16 +437,6 @@ class Rounds:
         range with the block's own entries that are frequent.
         """
         least, last = self.least, size == LONGEST
-        schema = pa.schema(
-            [
-                ("block", pa.int64()),
-                ("lang", pa.string()),
-                ("entries", pa.binary()),
-                ("quotients", pa.binary()),
-                ("remainders", pa.list_(pa.binary())),
-                ("counts", pa.binary()),
-            ]
-        )
 
         def merge(table: pa.Table) -> pa.Table:
             rows = table.to_pylist()
@@ -367,32 +452,27 @@ class Rounds:
                 done += len(own)
                 if len(alive) and not last:
                     out.append({"block": row["block"], "lang": row["lang"], "entries": squeezed(alive + row["base"])})
-            return pa.Table.from_pylist(out, schema)
+            return pa.Table.from_pylist(out, arrow_schema(MERGED))
 
         filters = state.filter("part IS NOT NULL").select(
             "block", "lang", "part", "base", "quotients", "remainders", "counts"
         )
-        found = filters.groupBy("lang", "part").applyInArrow(
-            merge,
-            "block bigint, lang string, entries binary, quotients binary, remainders array<binary>, counts binary",
-        )
-        return stored(found, f"phrase-merged-{size}")
+        return stored(filters.groupBy("lang", "part").applyInArrow(merge, MERGED), f"phrase-merged-{size}")
 
     def phrases(self) -> DataFrame:
         """``lang``, ``ids`` (of words) and ``a`` of all frequent phrases, from one word up."""
-        found = [self.words.select("lang", F.array("id").alias("ids"), "a")]
-        state = self.state
+        everything = self.words.select("lang", F.array("id").alias("ids"), "a")
+        blocks = self.blocks.select("block", "lang", "tokens")
+        frequent = self.found.filter("block IS NOT NULL").select("block", "locals", "ids")
         for size in range(2, LONGEST + 1):
+            state = self._round(blocks, frequent, size)
             merged = self.merged(state, size)
             filters = merged.filter("block IS NULL").select("lang", "quotients", "remainders", "counts")
-            found.append(filters.mapInArrow(unpacked(self._packing(size)), "lang string, ids array<bigint>, a bigint"))
-            if size < LONGEST:
-                blocks = state.filter("part IS NULL").select("block", "lang", "tokens", "places", "entries")
-                frequent = merged.filter("block IS NOT NULL").select("block", "entries")
-                state = self._advanced(blocks, frequent, self._next(size + 1), size + 1)
-        everything = found[0]
-        for some in found[1:]:
-            everything = everything.unionByName(some)
+            everything = everything.unionByName(
+                filters.mapInArrow(unpacked(self._packing(size)), "lang string, ids array<bigint>, a bigint")
+            )
+            blocks = state.filter("part IS NULL").select("block", "lang", "tokens", "alive")
+            frequent = merged.filter("block IS NOT NULL").select("block", "entries")
         return stored(everything, "phrases")
 
 
@@ -426,7 +506,6 @@ def collocations(
     phrases = rounds.phrases()
     candidates = phrases.filter(F.size("ids") > 1)
 
-    # Numbers of words tell languages apart, so phrases join by them alone.
     cuts = candidates.select(
         "lang", "ids", "a", F.explode(F.sequence(F.lit(1), F.size("ids") - 1)).alias("k")
     ).select(
@@ -434,29 +513,29 @@ def collocations(
         F.expr("slice(ids, 1, k)").alias("left_ids"),
         F.expr("slice(ids, k + 1, size(ids) - k)").alias("right_ids"),
     )
-    left = phrases.select(F.col("ids").alias("left_ids"), F.col("a").alias("l"))
-    right = phrases.select(F.col("ids").alias("right_ids"), F.col("a").alias("r"))
+    left = phrases.select("lang", F.col("ids").alias("left_ids"), F.col("a").alias("l"))
+    right = phrases.select("lang", F.col("ids").alias("right_ids"), F.col("a").alias("r"))
     score = F.expr(
         "(CAST(1000 AS DECIMAL(38, 0)) * a * n) div (CAST(l AS DECIMAL(38, 0)) * r)"
     ).cast("bigint")
-    scored = cuts.join(left, "left_ids").join(right, "right_ids").join(rounds.sizes, "lang")
+    scored = cuts.join(left, ["lang", "left_ids"]).join(right, ["lang", "right_ids"]).join(rounds.sizes, "lang")
     weakest = scored.groupBy("lang", "ids", "a", "n").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
 
     # A phrase inside a longer one that is as frequent is also inside one of just one word more.
     longer = candidates.filter(F.size("ids") > 2)
     inside = [F.expr(f"slice(ids, {start}, size(ids) - 1)") for start in (1, 2)]
-    covered = longer.select(F.explode(F.array(*inside)).alias("ids"), "a").distinct()
-    kept = weakest.join(covered, ["ids", "a"], "left_anti")
+    covered = longer.select("lang", F.explode(F.array(*inside)).alias("ids"), "a").distinct()
+    kept = weakest.join(covered, ["lang", "ids", "a"], "left_anti")
 
     spelt = (
-        kept.select("ids", F.posexplode("ids").alias("place", "id"))
-        .join(rounds.words.select("id", "word"), "id")
-        .groupBy("ids")
+        kept.select("lang", "ids", F.posexplode("ids").alias("place", "id"))
+        .join(rounds.words.select("lang", "id", "word"), ["lang", "id"])
+        .groupBy("lang", "ids")
         .agg(F.array_join(F.sort_array(F.collect_list(F.struct("place", "word"))).getField("word"), " ").alias("phrase"))
     )
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (
-        kept.join(spelt, "ids")
+        kept.join(spelt, ["lang", "ids"])
         .select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
         .withColumn("rank", F.row_number().over(first).cast("bigint"))
         .filter(F.col("rank") <= most)
