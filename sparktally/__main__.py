@@ -10,6 +10,7 @@ from inspect import signature
 
 from sparktally.plans.programs import PROGRAMS
 from sparktally.session import build_session
+from sparktally.sources.published import publish
 from sparktally.sources.writers import run_folder, write_parquet, write_tab_separated
 
 def yes_or_no(text: str) -> bool:
@@ -18,6 +19,9 @@ def yes_or_no(text: str) -> bool:
     return text == "yes"
 
 
+# Published results are text with a manifest, in place only when they are whole.
+WRITERS = {"text": write_tab_separated, "parquet": write_parquet, "published": publish}
+
 PARAMETERS = {
     "k": int,
     "min_length": int,
@@ -38,7 +42,7 @@ def main(arguments: list[str] | None = None) -> str:
     parser.add_argument("report", choices=sorted(PROGRAMS))
     parser.add_argument("input", help="input folder")
     parser.add_argument("output", help="folder that gets a fresh folder for this run")
-    parser.add_argument("--format", choices=["text", "parquet"], default="text")
+    parser.add_argument("--format", choices=sorted(WRITERS), default="text")
     for name, kind in PARAMETERS.items():
         parser.add_argument(f"--{name}", type=kind)
     options = vars(parser.parse_args(arguments))
@@ -53,8 +57,7 @@ def main(arguments: list[str] | None = None) -> str:
     spark = build_session(f"sparktally {options['report']}")
     rows = PROGRAMS[options["report"]](spark, options["input"], **given)
     folder = run_folder(options["output"], options["report"])
-    write = write_parquet if options["format"] == "parquet" else write_tab_separated
-    write(rows, folder)
+    WRITERS[options["format"]](rows, folder)
     return folder
 
 

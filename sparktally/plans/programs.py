@@ -16,6 +16,9 @@ from sparktally.operators import listings, orders, transit, trips, words
 from sparktally.operators.aggregates import distinct_key_values, key_values, one_value_by
 from sparktally.operators.joins import join_records, total_by_lookup
 from sparktally.sources import readers
+from sparktally.sources.checked import read_checked_listings, read_checked_order_lines
+from sparktally.sources.layouts import TRIPS, ZONES, read_by_header
+from sparktally.sources.shapes import MixedLines
 
 Program = Callable[..., DataFrame]
 PROGRAMS: dict[str, Program] = {}
@@ -203,6 +206,13 @@ def zone_demand(spark: SparkSession, path: str, zones: str, files: str = "*") ->
     return trips.zone_demand(taken, readers.read_zones(spark, zones))
 
 
+@program
+def zone_demand_one_folder(spark: SparkSession, path: str) -> DataFrame:
+    """Trips and the zone lookup are both in the input folder, told apart by their headers."""
+    taken = read_by_header(spark, path, TRIPS, others=[ZONES])
+    return trips.zone_demand(taken, read_by_header(spark, path, ZONES, others=[TRIPS]))
+
+
 @program
 def passenger_frequency(spark: SparkSession, path: str) -> DataFrame:
     return trips.passenger_frequency(readers.read_trips(spark, path))
@@ -258,3 +268,33 @@ def listing_word_count(
 ) -> DataFrame:
     descriptions = readers.read_listings(spark, path, multi_line)
     return words.description_word_count(descriptions, "description", min_count)
+
+
+# What the readers reject.
+
+
+@program
+def rejected_order_lines(spark: SparkSession, path: str) -> DataFrame:
+    return read_checked_order_lines(spark, path).rejected()
+
+
+@program
+def rejected_listings(spark: SparkSession, path: str) -> DataFrame:
+    return read_checked_listings(spark, path).rejected()
+
+
+# Customers and orders in one folder, told apart by the shape of their lines.
+
+
+@program
+def mixed_join_customer_orders(spark: SparkSession, path: str) -> DataFrame:
+    mixed = MixedLines(spark, path)
+    customers = mixed.customers().select("custkey", "name")
+    return join_records(customers, mixed.orders(), "custkey", ["name", "comment"])
+
+
+@program
+def mixed_customer_order_total(spark: SparkSession, path: str) -> DataFrame:
+    mixed = MixedLines(spark, path)
+    totals = {"total": "totalprice"}
+    return total_by_lookup(mixed.orders(), mixed.customers(), "custkey", ["custkey", "name"], totals)

@@ -1,0 +1,178 @@
+"""Readers that go by headers, quotes and shapes, what they reject, and published results."""
+
+from __future__ import annotations
+
+import gzip
+
+import duckdb
+import pytest
+from conftest import TESTDATA, values
+
+from sparktally.plans.file_oracles import FILE_ORACLES
+from sparktally.plans.files import FILE_QUERIES
+from sparktally.sources import readers
+from sparktally.sources.checked import read_checked_listings, read_checked_order_lines
+from sparktally.sources.layouts import LISTINGS, TRIPS, ZONES, UnknownHeader, plain_name, read_by_header
+from sparktally.sources.published import Unpublished, publish, read_published
+from sparktally.sources.quoted import read_records, read_split_listings
+from sparktally.sources.shapes import MixedLines
+
+TABLES = f"{TESTDATA}/sf0.001"
+LISTING_HEADER = "id,name,host_id,host_name,neighbourhood_group,neighbourhood,latitude,longitude,room_type,price,minimum_nights,number_of_reviews,last_review,reviews_per_month,calculated_host_listings_count,availability_365\n"
+
+
+@pytest.mark.parametrize("name", sorted(FILE_QUERIES))
+def test_query_over_files_equals_its_sql(spark, name):
+    found = FILE_QUERIES[name](spark, TABLES)
+    names = sorted(found.columns)
+    connection = duckdb.connect()
+    for table in ("documents", "part", "events", "nation", "lineitem", "orders", "customer"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
+    expected = connection.execute(f"SELECT {', '.join(names)} FROM ({FILE_ORACLES[name]})").fetchall()
+    assert sorted(map(repr, values(found, *names))) == sorted(map(repr, expected))
+
+
+# Quoted records.
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Blocks of 64 KB, so that a file of a megabyte takes many tasks."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "65536")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def listing(n: int, description: str) -> str:
+    quoted = description.replace('"', '""')
+    return f'{n},"{quoted}",{n % 7},Ann,g,Port,1.5,3.0,Shared room,{n % 50}.25,1,1,x,1,1,9\n'
+
+
+def test_one_file_with_newlines_in_fields_is_read_by_many_tasks(spark, write_file, small_blocks):
+    texts = ['plain', 'two\nlines', 'a "quoted\n\n" word, and\r\nmore', '""', "\n"]
+    # Some fields are longer than a block.
+    long = "x" * 150_000 + "\ny"
+    body = "".join(listing(n, texts[n % len(texts)] if n % 1999 else long) for n in range(10_000))
+    folder = write_file(LISTING_HEADER + body)
+    assert spark.read.text(folder).rdd.getNumPartitions() >= 8
+    found = read_split_listings(spark, folder)
+    known = readers.read_listings(spark, folder)
+    assert found.count() == known.count() == 10_000
+    assert sorted(values(found.select("id", "description", "host_id", "price", "availability")), key=repr) == sorted(
+        values(known.select("id", "description", "host_id", "price", "availability")), key=repr
+    )
+
+
+def test_records_are_numbered_and_blank_lines_skipped(spark, write_file):
+    folder = write_file('h,k\r\n1,"a\r\nb"\r\n\r\n2,"c ""d"", e"\r\n')
+    rows = sorted(values(read_records(spark, folder), "record", "text"))
+    assert [text for _, text in rows] == ["h,k", '1,"a\r\nb"', '2,"c ""d"", e"']
+
+
+def test_columns_of_quoted_files_go_by_their_headers(spark, write_file):
+    write_file(LISTING_HEADER + listing(1, "a"), "one.csv")
+    names = LISTING_HEADER.strip().split(",")
+    turned = ["x" if name != "id" else "7" for name in reversed(names)]
+    folder = write_file(",".join(reversed(names)) + "\n" + ",".join(turned) + "\n" + "1,2\n", "two.csv")
+    assert sorted(values(read_split_listings(spark, folder), "id", "host_name")) == [(1, "Ann"), (7, "x")]
+
+
+def test_rejected_listings_are_kept_with_their_reason(spark, write_file):
+    lines = [listing(1, "good\none"), "2,short\n", listing(3, "x").replace("3.25", "n/a"), "x" + listing(4, "y")]
+    checked = read_checked_listings(spark, write_file(LISTING_HEADER + "".join(lines)))
+    assert values(checked.good(), "id") == [(1,)]
+    rejected = {(row.reason, row.line) for row in checked.rejected().collect()}
+    assert {reason for reason, _ in rejected} == {"fields", "price", "id"}
+    assert ("fields", "2,short") in rejected
+    assert dict(values(checked.reasons())) == {None: 1, "fields": 1, "price": 1, "id": 1}
+
+
+def test_rejected_order_lines(spark, write_file):
+    header = ",".join(f"c{n}" for n in range(17)) + ",Sales,Quantity,Discount,Profit\n"
+    good = "1,O,1/30/16,,,C,N,,,,S,,,P,K,,p,10.5,2,0,1\n"
+    bad = [good.replace("10.5", "y"), good.replace(",2,", ",2.5,"), good.replace("1/30/16", "x"), "1,2\n", good]
+    checked = read_checked_order_lines(spark, write_file(header + good + "".join(bad)))
+    assert dict(values(checked.reasons())) == {
+        None: 2, "sales": 1, "quantity": 1, "order_date": 1, "fields": 1
+    }
+    assert checked.rejected().filter("reason = 'fields'").first().line == "1,2"
+    assert checked.rejected().first().file.endswith("/part.csv")
+    undated = read_checked_order_lines(spark, write_file(header + bad[2], folder="undated"), dated=False)
+    assert dict(values(undated.reasons())) == {None: 1}
+
+
+# Headers.
+
+
+def test_names_of_headers():
+    names = ["Row ID", "Sub-Category", "LocationID", "tpep_pickup_datetime", "﻿PULocationID", " VendorID "]
+    assert [plain_name(n) for n in names] == [
+        "row_id", "sub_category", "locationid", "tpep_pickup_datetime", "pulocationid", "vendorid"
+    ]
+
+
+def test_a_folder_of_two_tables_in_any_order_of_columns(spark, write_file, tmp_path):
+    folder = write_file('"LocationID","Borough","Zone","service_zone"\n1,"EWR","Newark, N.J.","EWR"\n', "zones.csv")
+    write_file("Zone,service_zone,more,LocationID,Borough\nJamaica,Boro,x,2,Queens\n\n", "more.csv")
+    with gzip.open(f"{folder}/packed.csv.gz", "wt") as file:
+        file.write("zone_id,borough,zone,service_zone\n3,Bronx,Park,\n")
+    header = "VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,RatecodeID,store_and_fwd_flag,PULocationID,DOLocationID,payment_type,fare_amount,extra,mta_tax,tip_amount,tolls_amount,improvement_surcharge,total_amount\n"
+    write_file(header + "1,2018-01-01 00:21:05,2018-01-01 00:30:00,5,2.9,1,N,2,2,1,9,0,0,1.99,0,0,20.99\n", "trips.csv")
+    zones = read_by_header(spark, folder, ZONES, others=[TRIPS])
+    assert sorted(values(zones, "zone_id", "zone")) == [(1, "Newark, N.J."), (2, "Jamaica"), (3, "Park")]
+    taken = read_by_header(spark, folder, TRIPS, others=[ZONES])
+    assert values(taken, "zone_id", "passengers", "distance") == [(2, 5, 2.9)]
+    with pytest.raises(UnknownHeader, match="lacks .*passengers.*it has zone, "):
+        read_by_header(spark, folder, TRIPS)
+
+
+def test_a_folder_without_files_of_the_layout_is_empty(spark, write_file):
+    folder = write_file("zone_id,borough,zone,service_zone\n")
+    assert read_by_header(spark, folder, ZONES).count() == 0
+    assert read_by_header(spark, folder, LISTINGS, others=[ZONES]).count() == 0
+
+
+# Shapes.
+
+
+def test_lines_are_told_apart_by_their_shape(spark, write_file):
+    folder = write_file(
+        "1|Ann|s|5|p|1.50|A|x \"y|\n10|1|O|100.10|1996-01-02|5|C|0||\n\n11|1|O|bad|1996-01-02|5|C|0|z|\nodd|line|\n"
+        "1|2|3|4|5|6|7|8|9\n",
+        "all.tbl",
+    )
+    mixed = MixedLines(spark, folder)
+    assert values(mixed.customers(), "custkey", "name", "comment") == [(1, "Ann", 'x "y')]
+    orders = sorted(values(mixed.orders().selectExpr("orderkey", "double(totalprice)", "comment")))
+    assert orders == [(10, 100.1, None), (11, None, "z")]
+    assert sorted(row.line for row in mixed.others().collect()) == ["1|2|3|4|5|6|7|8|9", "odd|line|"]
+
+
+# Published results.
+
+
+def test_published_rows_keep_their_order_and_are_checked(spark, tmp_path, small_blocks):
+    path = f"{tmp_path}/result"
+    rows = spark.range(20_000).selectExpr("id", "repeat(CAST(id % 10 AS STRING), 3) AS t").repartition(7)
+    publish(rows.orderBy("id"), path)
+    found = sorted(values(read_published(spark, path)))
+    assert found == [(n, f"{n}\t{str(n % 10) * 3}") for n in range(20_000)]
+    with pytest.raises(FileExistsError):
+        publish(rows, path)
+    part = next(tmp_path.joinpath("result").glob("part-*"))
+    part.with_name("." + part.name + ".crc").unlink(missing_ok=True)
+    part.write_text(part.read_text().replace("\t", " ", 1))
+    with pytest.raises(Unpublished, match=part.name):
+        read_published(spark, path)
+
+
+def test_an_unfinished_result_is_refused(spark, tmp_path):
+    spark.range(3).selectExpr("CAST(id AS STRING) AS v").write.text(f"{tmp_path}/half")
+    with pytest.raises(Unpublished, match="no manifest"):
+        read_published(spark, f"{tmp_path}/half")
+    publish(spark.range(0), f"{tmp_path}/empty")
+    assert read_published(spark, f"{tmp_path}/empty").count() == 0
