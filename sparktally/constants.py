@@ -44,7 +44,7 @@ WORD_MIN_COUNT = 3
 LISTING_WORD_MIN_COUNT = 101
 WHITESPACE = r"\s+"
 MARKUP_OR_SPACE = r"\s?<[^>]*>\s?|\s"
-NON_LETTER = "[^a-zA-Z]"
+NON_LETTERS = "[^a-z]+"
 NON_BREAKING_SPACE = "&nbsp;"
 PUNCTUATION = '.!?,:;"()'
 DIGITS = "0123456789"

@@ -9,7 +9,7 @@ from sparktally.constants import (
     DIGITS,
     MARKUP_OR_SPACE,
     NON_BREAKING_SPACE,
-    NON_LETTER,
+    NON_LETTERS,
     PUNCTUATION,
     WHITESPACE,
 )
@@ -35,14 +35,6 @@ def without_punctuation(value: Column | str) -> Column:
     return F.regexp_replace(as_column(value), f"[{PUNCTUATION}{DIGITS}]", "")
 
 
-def letters_only(value: Column | str) -> Column:
-    """Lower-case text with a space for everything that is not an ASCII letter.
-
-    This also removes all punctuation, so no separate deletion has to follow.
-    """
-    return F.regexp_replace(F.lower(as_column(value)), NON_LETTER, " ")
-
-
 def words_of_text(value: Column | str) -> Column:
     return split_words(value)
 
@@ -53,5 +45,5 @@ def words_of_markup(value: Column | str) -> Column:
 
 
 def words_of_description(value: Column | str) -> Column:
-    """Lower-case ASCII words of free text."""
-    return split_words(letters_only(value))
+    """Lower-case ASCII words of free text: whatever else lies between them splits."""
+    return F.split(F.lower(as_column(value)), NON_LETTERS)
