@@ -13,7 +13,6 @@ never wins against another id; a group of NULL ids only keeps them all, under a
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,13 +54,19 @@ class DigestIndex:
         ).saveAsTable(self.name)
         self.spark.catalog.refreshTable(self.name)
 
-    def deduplicate(self, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    def deduplicate(
+        self, docs: DataFrame, id_column: str, text_column: str, batch: str | None = None
+    ) -> DataFrame:
         """One row per document of the batch, and the batch's new digests into the index.
 
         Returns ``id``, ``digest``, ``keep_id``, ``group_size`` (rows of the batch with this
-        text) and ``kept``. A text that the index holds already is kept by no row of the batch.
+        text) and ``kept``. A text that the index holds already, from another batch, is kept by
+        no row of this one.
+
+        ``batch`` names the batch; by default its name follows from its ids and digests. A batch
+        that is run again, after a failure at whatever point, gets the decisions of the first
+        run: what the index has under its name counts as new, and nothing is appended twice.
         """
-        batch = uuid.uuid4().hex
         rows = stored(
             docs.select(
                 F.col(id_column).cast("bigint").alias("id"),
@@ -69,6 +74,10 @@ class DigestIndex:
             ),
             "digests",
         )
+        if batch is None:
+            summed = F.sum(F.xxhash64("id", "digest").cast("decimal(38,0)"))
+            count, total = rows.agg(F.count("*"), summed).first()
+            batch = f"{count}:{total}"
         groups = stored(
             rows.groupBy("digest").agg(
                 F.max("id").alias("keep_id"), F.count("*").alias("group_size")
