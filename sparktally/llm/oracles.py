@@ -135,23 +135,30 @@ targets AS (
   SELECT key, CAST(source_size AS BIGINT) AS source_size,
     least(CAST(cap AS DOUBLE), shared * weight) AS target,
     CAST(ceil(source_size / {BLOCK_WORDS}) AS BIGINT) AS blocks,
-    CAST(floor(least(CAST(cap AS DOUBLE), shared * weight) / {BLOCK_WORDS} + 0.5) AS BIGINT) AS slots
+    -- Whole passes over the source, and the words that are left of the target for one more.
+    CAST(round(least(CAST(cap AS DOUBLE), shared * weight)) AS BIGINT) // nullif(CAST(source_size AS BIGINT), 0) AS passes,
+    CAST(round(least(CAST(cap AS DOUBLE), shared * weight)) AS BIGINT) % nullif(CAST(source_size AS BIGINT), 0) AS rest
   FROM common
 ),
+dealt AS (
+  SELECT *, passes * blocks + CAST(ceil(rest / {BLOCK_WORDS}) AS BIGINT) AS slots FROM targets WHERE source_size > 0
+),
 visits AS (
-  SELECT key, CAST(((CASE {" ".join(f"WHEN blocks % {p} <> 0 THEN {p}" for p in PRIMES)} END
-      * (slot % blocks) + CAST('0x' || substr(md5(concat_ws('|', '11', key)), 1, 7) AS BIGINT)) % blocks)
-    AS BIGINT) AS block, count(*) AS times
-  FROM (SELECT *, unnest(range(0, slots)) AS slot FROM targets WHERE slots > 0) GROUP BY ALL
+  SELECT key, CAST((CASE {" ".join(f"WHEN blocks % {p} <> 0 THEN {p}" for p in PRIMES)} END
+      * (slot % blocks + 1) + blocks - 1) % blocks AS BIGINT) AS block,
+    CASE WHEN slot = slots - 1 AND rest % {BLOCK_WORDS} > 0 THEN rest % {BLOCK_WORDS} ELSE {BLOCK_WORDS} END AS room,
+    count(*) AS times
+  FROM (SELECT *, unnest(range(0, slots)) AS slot FROM dealt WHERE slots > 0) GROUP BY ALL
 ),
 pieces AS (
-  SELECT key, start, block, least(size, (block + 1) * {BLOCK_WORDS} - start)
-    - greatest(0, block * {BLOCK_WORDS} - start) AS words
+  SELECT key, start, block, greatest(start, block * {BLOCK_WORDS}) - block * {BLOCK_WORDS} AS off,
+    least(size, (block + 1) * {BLOCK_WORDS} - start) - greatest(0, block * {BLOCK_WORDS} - start) AS words
   FROM (SELECT *, unnest(range(start // {BLOCK_WORDS}, (start + size - 1) // {BLOCK_WORDS} + 1)) AS block
     FROM (SELECT key, size, CAST(start AS BIGINT) AS start FROM placed WHERE size > 0))
 ),
 takes AS (
-  SELECT key, start, sum(words * times) AS taken FROM pieces JOIN visits USING (key, block) GROUP BY ALL
+  SELECT key, start, sum(greatest(0, least(words, room - off)) * times) AS taken
+  FROM pieces JOIN visits USING (key, block) GROUP BY ALL
 ),
 mixed AS (
   SELECT doc_id, size, source_size, target,

@@ -70,7 +70,7 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    mix = mix_sources(table(spark, folder, "documents"))
+    mix = mix_sources(table(spark, folder, "documents"), in_words=True)
     return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
