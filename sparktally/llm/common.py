@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,3 +98,27 @@ def numbered(rows: DataFrame, order: list[str], column: str, name: str) -> DataF
     placed = laid.withColumn("_part", part).join(F.broadcast(starts), "_part")
     inside = F.col("_laid").bitwiseAND((1 << 33) - 1)
     return placed.withColumn(column, F.col("_start") + inside).drop("_part", "_laid", "_start")
+
+
+def give_back() -> None:
+    """Returns the memory that this Python worker holds but does not use.
+
+    Workers outlive their tasks, and an executor has several of them beside its own memory.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``work`` on the batches of a task, with unused memory returned at its end."""
+
+    def run(batches: Batches) -> Batches:
+        yield from work(batches)
+        give_back()
+
+    return run

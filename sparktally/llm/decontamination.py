@@ -31,7 +31,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from sparktally.llm.common import ascii_lower, stored
+from sparktally.llm.common import ascii_lower, lean, stored
 
 WINDOW_WORDS = 10
 BLOCK_WINDOWS = 200_000
@@ -90,7 +90,7 @@ def document_counts(docs: DataFrame, text_column: str, vocabulary: DataFrame, bl
                 names=["word", "documents"],
             )
 
-        part = docs.select(text_column).mapInArrow(count, "word string, documents long")
+        part = docs.select(text_column).mapInArrow(lean(count), "word string, documents long")
         counted = part if counted is None else counted.unionByName(part)
     return counted.groupBy("word").agg(F.sum("documents").alias("documents"))
 
@@ -173,7 +173,7 @@ def find_hits(
         last = number == blocks - 1
         schema = StructType([found.schema[c] for c in (keep if last else carried)] + HITS.fields)
         found = found.mapInArrow(
-            block_search(entries, text_column, keep if last else carried), schema
+            lean(block_search(entries, text_column, keep if last else carried)), schema
         )
     return found
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from sparktally.llm.common import fresh_path, stored
+from sparktally.llm.common import fresh_path, give_back, stored
 
 RESULT = ["size", "text_crc32", "shard", "part", "slot", "grown_shard"]
 
@@ -94,6 +94,7 @@ def shard_records(
         keys = [(c, "ascending") for c in (id_column, "text_crc32", "size")]
         left = left.take(pc.sort_indices(left, sort_keys=keys))
         left = left.take(pa.array(fisher_yates(left.num_rows, [seed, shard_no, part_no])))
+        give_back()
         start = right["start"][0].as_py()
         return left.append_column(
             "slot", pa.array(np.arange(start, start + left.num_rows), pa.int64())

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import attach, shuffle_partitions, stored
+from sparktally.llm.common import attach, lean, shuffle_partitions, stored
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -138,7 +138,7 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, prints) -> D
             )
 
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("t"))
-    return rows.mapInArrow(each, "id long, tag long, fp long")
+    return rows.mapInArrow(lean(each), "id long, tag long, fp long")
 
 
 def gray_rank(bits: Column) -> Column:
@@ -346,7 +346,7 @@ def links_within(distinct: DataFrame, max_bits: int, group_limit: int) -> DataFr
         .sortWithinPartitions("tag", "mask", "value", "gray")
         .select("fp", "tag", "mask", "value")
     )
-    return sorted_groups.mapInArrow(search_groups(max_bits), "tag long, a long, b long")
+    return sorted_groups.mapInArrow(lean(search_groups(max_bits)), "tag long, a long, b long")
 
 
 def near_duplicates(

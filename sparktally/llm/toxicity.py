@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from sparktally.llm.common import lean
+
 WINDOW_WORDS = 16
 ORDINARY_BYTES = 24_576
 TOXIC_BYTES = 1_024
@@ -196,7 +198,7 @@ def fitted_model(rows: DataFrame) -> dict:
         model = pickle.dumps(train(found))
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
-    models = rows.repartition(1).mapInArrow(fit, "model binary").collect()
+    models = rows.repartition(1).mapInArrow(lean(fit), "model binary").collect()
     return pickle.loads(bytes(models[0].model)) if models else {"share": 0.0}
 
 
@@ -223,7 +225,7 @@ def score_texts(docs: DataFrame, model: dict, text_column: str, keep: list[str])
                 names=[*keep, "score"],
             )
 
-    return docs.select(*carried).mapInArrow(score, schema)
+    return docs.select(*carried).mapInArrow(lean(score), schema)
 
 
 def fold(key: Column, folds: int) -> Column:
