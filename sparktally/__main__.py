@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 from inspect import signature
 
-from sparktally.plans.programs import PROGRAMS
+from sparktally.plans.programs import FOLDER_PROGRAMS, PROGRAMS
 from sparktally.session import build_session
 from sparktally.sources.published import publish
 from sparktally.sources.writers import run_folder, write_parquet, write_tab_separated
@@ -19,6 +19,7 @@ def yes_or_no(text: str) -> bool:
     return text == "yes"
 
 
+REPORTS = {**PROGRAMS, **FOLDER_PROGRAMS}
 # Published results are text with a manifest, in place only when they are whole.
 WRITERS = {"text": write_tab_separated, "parquet": write_parquet, "published": publish}
 
@@ -39,7 +40,7 @@ PARAMETERS = {
 def main(arguments: list[str] | None = None) -> str:
     """Runs the report and returns the folder of its result."""
     parser = argparse.ArgumentParser(prog="sparktally", description=__doc__)
-    parser.add_argument("report", choices=sorted(PROGRAMS))
+    parser.add_argument("report", choices=sorted(REPORTS))
     parser.add_argument("input", help="input folder")
     parser.add_argument("output", help="folder that gets a fresh folder for this run")
     parser.add_argument("--format", choices=sorted(WRITERS), default="text")
@@ -48,14 +49,14 @@ def main(arguments: list[str] | None = None) -> str:
     options = vars(parser.parse_args(arguments))
 
     given = {name: options[name] for name in PARAMETERS if options[name] is not None}
-    known = signature(PROGRAMS[options["report"]]).parameters
+    known = signature(REPORTS[options["report"]]).parameters
     for name in given.keys() - known.keys():
         parser.error(f"{options['report']} has no --{name}")
     for name, parameter in list(known.items())[2:]:
         if parameter.default is parameter.empty and name not in given:
             parser.error(f"{options['report']} needs --{name}")
     spark = build_session(f"sparktally {options['report']}")
-    rows = PROGRAMS[options["report"]](spark, options["input"], **given)
+    rows = REPORTS[options["report"]](spark, options["input"], **given)
     folder = run_folder(options["output"], options["report"])
     WRITERS[options["format"]](rows, folder)
     return folder

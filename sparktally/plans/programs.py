@@ -22,6 +22,8 @@ from sparktally.sources.shapes import MixedLines
 
 Program = Callable[..., DataFrame]
 PROGRAMS: dict[str, Program] = {}
+# Reports on what files hold besides, or on folders with several tables in them.
+FOLDER_PROGRAMS: dict[str, Program] = {}
 
 # The row number identifies an order line.
 ROW_KEY = ["row_id"]
@@ -32,6 +34,11 @@ def program(run: Program) -> Program:
     return run
 
 
+def folder_program(run: Program) -> Program:
+    FOLDER_PROGRAMS[run.__name__] = run
+    return run
+
+
 # Text.
 
 
@@ -206,7 +213,7 @@ def zone_demand(spark: SparkSession, path: str, zones: str, files: str = "*") ->
     return trips.zone_demand(taken, readers.read_zones(spark, zones))
 
 
-@program
+@folder_program
 def zone_demand_one_folder(spark: SparkSession, path: str) -> DataFrame:
     """Trips and the zone lookup are both in the input folder, told apart by their headers."""
     taken = read_by_header(spark, path, TRIPS, others=[ZONES])
@@ -273,12 +280,12 @@ def listing_word_count(
 # What the readers reject.
 
 
-@program
+@folder_program
 def rejected_order_lines(spark: SparkSession, path: str) -> DataFrame:
     return read_checked_order_lines(spark, path).rejected()
 
 
-@program
+@folder_program
 def rejected_listings(spark: SparkSession, path: str) -> DataFrame:
     return read_checked_listings(spark, path).rejected()
 
@@ -286,14 +293,14 @@ def rejected_listings(spark: SparkSession, path: str) -> DataFrame:
 # Customers and orders in one folder, told apart by the shape of their lines.
 
 
-@program
+@folder_program
 def mixed_join_customer_orders(spark: SparkSession, path: str) -> DataFrame:
     mixed = MixedLines(spark, path)
     customers = mixed.customers().select("custkey", "name")
     return join_records(customers, mixed.orders(), "custkey", ["name", "comment"])
 
 
-@program
+@folder_program
 def mixed_customer_order_total(spark: SparkSession, path: str) -> DataFrame:
     mixed = MixedLines(spark, path)
     totals = {"total": "totalprice"}

@@ -7,9 +7,12 @@ import gzip
 import duckdb
 import pytest
 from conftest import TESTDATA, values
+from test_queries import SPARK_TYPES
 
 from sparktally.plans.file_oracles import FILE_ORACLES
+from sparktally import __main__ as runner
 from sparktally.plans.files import FILE_QUERIES
+from sparktally.plans.programs import FOLDER_PROGRAMS
 from sparktally.sources import readers
 from sparktally.sources.checked import read_checked_listings, read_checked_order_lines
 from sparktally.sources.layouts import LISTINGS, TRIPS, ZONES, UnknownHeader, plain_name, read_by_header
@@ -28,7 +31,9 @@ def test_query_over_files_equals_its_sql(spark, name):
     connection = duckdb.connect()
     for table in ("documents", "part", "events", "nation", "lineitem", "orders", "customer"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
-    expected = connection.execute(f"SELECT {', '.join(names)} FROM ({FILE_ORACLES[name]})").fetchall()
+    result = connection.execute(f"SELECT {', '.join(names)} FROM ({FILE_ORACLES[name]})")
+    assert dict(found.dtypes) == {column[0]: SPARK_TYPES[str(column[1])] for column in result.description}
+    expected = result.fetchall()
     assert sorted(map(repr, values(found, *names))) == sorted(map(repr, expected))
 
 
@@ -176,3 +181,13 @@ def test_an_unfinished_result_is_refused(spark, tmp_path):
         read_published(spark, f"{tmp_path}/half")
     publish(spark.range(0), f"{tmp_path}/empty")
     assert read_published(spark, f"{tmp_path}/empty").count() == 0
+
+
+# From the shell.
+
+
+def test_runner_publishes_a_report_on_a_folder_of_two_tables(spark, write_file, tmp_path):
+    folder = write_file("1|Ann|s|5|p|1.50|A|x|\n10|1|O|100.10|1996-01-02|5|C|0||\n", "all.tbl")
+    output = runner.main(["mixed_customer_order_total", folder, f"{tmp_path}/out", "--format", "published"])
+    assert values(read_published(spark, output)) == [(0, "1\tAnn\t100.10")]
+    assert set(FOLDER_PROGRAMS) <= set(runner.REPORTS)
