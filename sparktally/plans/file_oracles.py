@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparktally.plans.oracles import EVENTS, ORACLES, SALES_BY_DATE_STATE
+from sparktally.plans.oracles import EVENTS, LINE_ORDER, ORACLES, SALES_BY_DATE_STATE, SUPERSTORE
 
 FILE_ORACLES: dict[str, str] = {
     "text_file_word_count": ORACLES["word_count"],
@@ -45,6 +45,12 @@ GROUP BY c_custkey, c_name
 SELECT 'customer' AS shape, count(*) AS rows FROM customer
 UNION ALL SELECT 'order', count(*) FROM orders
 UNION ALL SELECT 'other', count(*) FROM nation
+""",
+    "top_third_of_profits": f"""
+WITH {SUPERSTORE},
+best AS (SELECT *, row_number() OVER (ORDER BY profit DESC, {LINE_ORDER}) AS rank FROM superstore)
+SELECT rank, order_id, line_number, product_id, supplier_id, sales::DOUBLE AS sales, profit::DOUBLE AS profit
+FROM best WHERE rank <= (SELECT count(*) // 3 FROM lineitem)
 """,
     "published_sales": f"""
 SELECT row_number() OVER (ORDER BY order_date, state) - 1 AS place, order_date, state, sales_amount

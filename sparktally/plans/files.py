@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from sparktally.operators import transit, trips, words
 from sparktally.operators.joins import join_records, total_by_lookup
-from sparktally.plans.queries import sales_by_date_state
-from sparktally.plans.tables import Tables
+from sparktally.operators.ordering import top_k_of_any_size
+from sparktally.plans.queries import in_currency, sales_by_date_state
+from sparktally.plans.tables import LINE_DIGITS, LINE_KEY, Tables
 from sparktally.sources import readers
 from sparktally.sources.checked import read_checked_order_lines
 from sparktally.sources.folders import work_folder
@@ -219,3 +220,14 @@ def published_sales(tables: Tables) -> DataFrame:
         F.get(fields, 1).alias("state"),
         F.get(fields, 2).cast("double").alias("sales_amount"),
     )
+
+
+# Rankings that are too long for one task.
+
+
+@file_query
+def top_third_of_profits(tables: Tables) -> DataFrame:
+    """The more profitable third of all lines, with their ranks."""
+    lines = tables.profitable_lines()
+    best = top_k_of_any_size(lines, "profit", LINE_KEY, tables.read("lineitem").count() // 3)
+    return in_currency(best, "profit", LINE_DIGITS).select("rank", *LINE_KEY, "profit")

@@ -9,6 +9,7 @@ import pytest
 from conftest import TESTDATA, values
 from test_queries import SPARK_TYPES
 
+from sparktally.operators.ordering import top_k_of_any_size
 from sparktally.plans.file_oracles import FILE_ORACLES
 from sparktally import __main__ as runner
 from sparktally.plans.files import FILE_QUERIES
@@ -191,3 +192,16 @@ def test_runner_publishes_a_report_on_a_folder_of_two_tables(spark, write_file,
     output = runner.main(["mixed_customer_order_total", folder, f"{tmp_path}/out", "--format", "published"])
     assert values(read_published(spark, output)) == [(0, "1\tAnn\t100.10")]
     assert set(FOLDER_PROGRAMS) <= set(runner.REPORTS)
+
+
+# Rankings of any length.
+
+
+@pytest.mark.parametrize(("k", "descending"), [(0, True), (1, False), (333, True), (333, False), (999, True), (5000, False)])
+def test_a_large_k_ranks_like_a_sort(spark, k, descending):
+    # Half of the rows have one value, one in ten has none.
+    rows = [(n, None if n % 10 == 0 else 7 if n % 2 else n % 100) for n in range(1000)]
+    table = spark.createDataFrame(rows, "id long, v long").repartition(5)
+    known = sorted((r for r in rows if r[1] is not None), key=lambda r: (-r[1] if descending else r[1], r[0]))
+    found = top_k_of_any_size(table, "v", ["id"], k, descending=descending)
+    assert sorted(values(found, "rank", "id", "v")) == [(i + 1, *r) for i, r in enumerate(known[:k])]
