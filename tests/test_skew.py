@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import os
 import re
+from statistics import median
 
 import duckdb
 import pytest
 from conftest import TESTDATA
+from pyspark.sql import functions as F
 from test_queries import TABLES, comparable
 
+from sparktally.operators.hot_keys import join_hot_records
+from sparktally.plans.hot_keys import HOT_KEY_ORACLES, HOT_KEY_QUERIES
 from sparktally.plans.oracles import ORACLES
 from sparktally.plans.queries import QUERIES
+from sparktally.plans.tables import LINE_KEY, Tables
 
 SOURCE = f"{TESTDATA}/sf0.01"
 
@@ -101,3 +106,59 @@ def test_results_are_whole_under_skew(spark, skewed, name):
     plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     split = set(re.findall(r"SortMergeJoin\(skew=true\) \[(\w+)#", plan))
     assert SPLIT.get(name, set()) <= split
+
+
+@pytest.fixture
+def unsplit(spark, skewed):
+    """The skewed tables without adaptive splitting of hot keys."""
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    yield skewed
+    spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+
+
+@pytest.mark.parametrize("name", HOT_KEY_QUERIES)
+def test_spread_joins_are_whole(spark, unsplit, name):
+    folder, connection = unsplit
+    rows = HOT_KEY_QUERIES[name](spark, folder)
+    expected = connection.execute(HOT_KEY_ORACLES[name])
+    names = [column[0] for column in expected.description]
+    found = rows.collect()
+    assert comparable(rows.columns, found) == comparable(names, expected.fetchall())
+    if name == "spread_sort_by_date":
+        order = [(row.order_date, row.order_id, row.line_number) for row in found]
+        assert order == sorted(order)
+
+
+@pytest.mark.parametrize("key", ["order_id", "product_id", "customer_id"])
+def test_spread_joins_have_no_long_task(spark, unsplit, key):
+    tables = Tables(spark, unsplit[0])
+    facts, lookup, row_key = {
+        "order_id": (tables.lines(), tables.orders().select("order_id", "order_date"), LINE_KEY),
+        "product_id": (tables.lines(), tables.products(), LINE_KEY),
+        "customer_id": (tables.orders(), tables.customers(), ["order_id"]),
+    }[key]
+
+    def rows_by_task(joined):
+        tasks = joined.groupBy(F.spark_partition_id().alias("task")).count()
+        return [row["count"] for row in tasks.collect()]
+
+    spread = rows_by_task(join_hot_records(facts, lookup, key, row_key))
+    plain = rows_by_task(facts.join(lookup, key))
+    assert sum(spread) == sum(plain)
+    assert max(spread) < 2 * median(spread)
+    assert max(plain) > 4 * median(plain)
+
+
+def test_spread_joins_of_odd_rows(spark):
+    facts = spark.createDataFrame([(n, 1 if n < 500 else None if n < 900 else n) for n in range(1000)], "id int, k int")
+    lookup = spark.createDataFrame([(1, "a"), (1, "b"), (950, "c"), (None, "d"), (7000, "e")], "k int, v string")
+    for how in ("inner", "left"):
+        for share in (3, 1000):
+            found = join_hot_records(facts, lookup, "k", ["id"], how, share)
+            expected = facts.join(lookup, "k", how)
+            assert found.columns == expected.columns
+            assert sorted(found.collect(), key=str) == sorted(expected.collect(), key=str)
+    assert join_hot_records(facts.limit(0), lookup, "k", ["id"]).count() == 0
+    assert join_hot_records(facts, lookup.limit(0), "k", ["id"], "left").count() == 1000
+    with pytest.raises(ValueError, match="full"):
+        join_hot_records(facts, lookup, "k", ["id"], "full")
