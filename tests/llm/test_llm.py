@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import os
+import random
 import re
 import zlib
 
@@ -464,11 +465,11 @@ def brute_hits(text, items):
     return len(words), len(hit), sorted(str(f) for f in found if f is not None)
 
 
-@pytest.mark.parametrize("block", [200_000, 3])
-def test_hits_against_brute_force(spark, odd, empty, block):
+@pytest.mark.parametrize(("shingle", "bits"), [(3, 24), (1, 15), (10, 15)])
+def test_hits_against_brute_force(spark, odd, empty, shingle, bits):
     items = [(1, "quick brown fox"), (2, PROSE), (None, "seven wizards"), (3, ""), (4, None), (10, "QUICK Brown fox"), (5, "東京")]
     table = spark.createDataFrame(items, "item_id long, text string")
-    found = decontamination.find_hits(odd, table, keep=["doc_id", "text"], block_windows=block)
+    found = decontamination.find_hits(odd, table, keep=["doc_id", "text"], shingle_words=shingle, bitmap_bits=bits)
     for row in found.withColumn("n_hit", decontamination.hit_words()).collect():
         assert (row.n_words, row.n_hit, row.hit_items) == brute_hits(row.text, items)
     assert decontamination.find_hits(empty, table).count() == 0
@@ -477,6 +478,35 @@ def test_hits_against_brute_force(spark, odd, empty, block):
     assert clean.columns == odd.columns and clean.filter("doc_id IN (9, 10, 11)").isEmpty()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_hits_in_few_words_and_hot_windows(spark, seed):
+    """Texts of few words, so that windows repeat and overlap, with one window in a third of the rows."""
+    draw = random.Random(seed)
+    some = lambda n: " ".join(draw.choices("a b c é".split(), k=n))
+    hot = some(12)
+    texts = [None, "", "a"] + [hot if n % 3 == 0 else some(draw.randrange(60)) for n in range(150)] + [some(4000)]
+    items = [(n % 20, some(draw.choice([1, 2, 3, 9, 10, 11, 14]))) for n in range(6, 40)] + [(99, hot)]
+    items = [i for i in items if len(i[1].split()) > seed]  # one-word items hit nearly everything
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.find_hits(docs, table).withColumn("n_hit", decontamination.hit_words()).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        assert (row.n_words, row.n_hit, row.hit_items) == brute_hits(row.text, items)
+
+
+def test_hits_are_found_by_joins(spark):
+    docs, table = (spark.read.parquet(f"{TABLES}/{name}.parquet") for name in ("documents", "benchmark"))
+    index = decontamination.find_hits(docs, table, keep=["doc_id"])
+    assert "Join" in index._jdf.queryExecution().toString()
+    with_clash = docs.withColumns({"_row": F.lit("mine"), "n_words": F.lit(-7), "places": F.lit(0.5)})
+    clean = decontamination.clean_documents(with_clash, table)
+    assert clean.columns == with_clash.columns
+    expected = index.filter(F.size("hit_from") == 0).count()
+    assert 0 < expected < docs.count()
+    assert clean.filter("_row = 'mine' AND n_words = -7 AND places = 0.5").count() == clean.count() == expected
+
+
 # Pipeline
 
 
