@@ -9,12 +9,13 @@ content from boilerplate.
 
 Classes, ids and roles named like boilerplate, and forms, mark what they hold. A mark is a finite
 cost of its blocks, paid once, and is lifted where it stands on a wrapper: on an element with more
-than half of the page's text, or with articles that have at least as much text as is unmarked.
+than half of the page's text, or with articles that have at least as much text as is unmarked. Marks
+of readers' comments are not lifted unless the page has no other text.
 
 Defined cases: NULL and empty pages have an empty text. Unclosed and unmatched tags are
 closed as browsers would or ignored. Scripts, styles, comments and markup never give text;
 line breaks count as white space. Repeated pages are pages of their own, a NULL id or URL
-stays NULL. Columns other than id, URL and HTML are not read.
+stays NULL. A very long page is read whole by one task, in time linear in its length. Columns other than id, URL and HTML are not read.
 """
 
 from __future__ import annotations
@@ -29,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL | re.IGNORECASE,
-)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+# What a "<" can open: a comment, a declaration or instruction, an end tag or a start tag.
+TOKEN = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+# One attribute of a tag. Quotes delimit a value only right after its "=".
+ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*([^\s>]?))?")
+UNQUOTED = re.compile(r"[^\s>]*")
+TAG_END = re.compile(r"[\s/]*>")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in ("script", "style")}
+NAMING = frozenset("class id role".split())
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+Attributes = list[tuple[str, str]]
 NAME_PART = re.compile(r"[a-z]+")
 
 # Elements that start a block; all others are inline and do not end one.
@@ -77,6 +80,8 @@ BOILERPLATE_NAMES = frozenset(
     "related replies reply respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription tags toolbar widget".split()
 )
+# Those that tell readers' comments, which can be longer than the article.
+COMMENT_NAMES = frozenset("comment comments discussion disqus replies reply respond".split())
 CONTENT_NAMES = frozenset("article articlebody body content entry main post story text".split())
 
 SURE = 30.0  # capacity of what is boilerplate by its place
@@ -93,6 +98,7 @@ class Element:
     content: bool = False
     number: int = 0
     marked: bool = False
+    comments: bool = False
     articles: int = 0  # open elements of ARTICLE, this one not counted
     first: int = 0  # its blocks: from here
     last: int = 0  # to before here
@@ -144,7 +150,7 @@ class Reader:
             )
         self.pieces, self.linked = [], 0
 
-    def start(self, name: str, attributes: str) -> None:
+    def start(self, name: str, attributes: Attributes) -> None:
         if name == "br":
             self.pieces.append("\n")
             return
@@ -164,13 +170,21 @@ class Reader:
         marked = name == "form"
         if name == "header" and above.article:
             boilerplate = False  # the heading of the article itself
-        if attributes and not attributes.isspace():
-            for _, *values in ATTRIBUTE.findall(attributes):
-                words = "".join(values).lower().split()
+        comments = named_content = False
+        for key, value in attributes:
+            if key in NAMING:
+                words = value.lower().split()
                 names = {part for w in words if not ABOUT.match(w) for part in NAME_PART.findall(w)}
                 marked = marked or not names.isdisjoint(BOILERPLATE_NAMES)
-                content = content or not names.isdisjoint(CONTENT_NAMES)
-            boilerplate = boilerplate or bool(HIDDEN.search(attributes))
+                comments = comments or not names.isdisjoint(COMMENT_NAMES)
+                named_content = named_content or not names.isdisjoint(CONTENT_NAMES)
+            elif (
+                key == "hidden"
+                or (key == "aria-hidden" and value.strip().lower() == "true")
+                or (key == "style" and NOT_SHOWN.search(value))
+            ):
+                boilerplate = True
+        content = content or named_content
         if name in ("body", "html"):
             boilerplate = content = marked = False
         element = Element(
@@ -180,6 +194,7 @@ class Reader:
             above.content or (content and not boilerplate),
             self.elements,
             marked,
+            comments and not named_content,
             above.articles + (above.name in ARTICLE),
             len(self.blocks),
         )
@@ -216,7 +231,10 @@ class Reader:
                 block.marks += 1
         whole = sum(own)
         unmarked = sum(n for n, b in zip(own, self.blocks, strict=True) if not b.marks)
+        alone = unmarked == 0
         for element in self.marked:
+            if element.comments and not alone:
+                continue
             places = range(element.first, element.last)
             held = sum(own[i] for i in places)
             articles = sum(own[i] for i in places if self.blocks[i].articles > element.articles)
@@ -227,18 +245,64 @@ class Reader:
                         unmarked += own[i]
 
 
+def end_of_tag(page: str, place: int, last: dict[str, int]) -> tuple[int, Attributes] | None:
+    """Where the tag ends whose name ends at ``place``, and its attributes; None if it never does.
+
+    ``last`` has the last place of each kind of quote: one that nothing closes is part of a value.
+    """
+    attributes: Attributes = []
+    while True:
+        if end := TAG_END.match(page, place):
+            return end.end(), attributes
+        found = ATTRIBUTE.match(page, place)
+        if not found:
+            return None
+        place, value = found.end(), found[2]
+        if value in ("'", '"') and place <= last[value]:
+            close = page.index(value, place)
+            value, place = page[place:close], close + 1
+        elif value:
+            place = UNQUOTED.match(page, place).end()
+            value = page[found.start(2) : place]
+        attributes.append((found[1].lower(), value or ""))
+
+
+def after(page: str, what: str, place: int) -> int:
+    found = page.find(what, place)
+    return len(page) if found < 0 else found + len(what)
+
+
 def blocks_of(page: str) -> list[Block]:
+    """The blocks of a page, in time linear in its length.
+
+    Should the page end inside of a tag, then that tag and later ones end at the next ">", wherever
+    it is, and a last one without any is text.
+    """
     reader = Reader()
+    last = {quote: page.rfind(quote) for quote in ("'", '"')}
+    whole = True
     done = 0
-    for token in TOKEN.finditer(page):
+    while token := TOKEN.search(page, done):
         reader.text(page[done : token.start()])
         done = token.end()
-        name = token[3]
-        if name:
-            if token[2]:
-                reader.end(name.lower())
-            else:
-                reader.start(name.lower(), token[4])
+        if not token[2]:
+            done = after(page, "-->" if token[0] == "<!--" else ">", done)
+            continue
+        tag = end_of_tag(page, done, last) if whole else None
+        if tag is None:
+            whole = False
+            tag = after(page, ">", done), []
+            if page[tag[0] - 1] != ">":
+                done = token.start()
+                break
+        done, name = tag[0], token[2].lower()
+        if token[1]:
+            reader.end(name)
+        elif name in RAW_END:
+            close = RAW_END[name].search(page, done)
+            done = after(page, ">", close.end()) if close else len(page)
+        else:
+            reader.start(name, tag[1])
     reader.text(page[done:])
     reader.end_block()
     reader.close(0)
@@ -250,7 +314,9 @@ def content_score(block: Block, has_article: bool) -> float:
     """Above 0 for content, below for boilerplate."""
     if block.never:
         return -SURE
-    score = -0.5 - 4 * block.link_share + min(len(block.text) / 80, 2.5)
+    # An article may list links; a menu in it is told by its element or its name.
+    linked = 1 if block.article and not block.marks else 4
+    score = -0.5 - linked * block.link_share + min(len(block.text) / 80, 2.5)
     if block.leaf == "p":
         score += 1
     elif block.leaf.startswith("h"):

@@ -7,6 +7,7 @@ import itertools
 import os
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -310,6 +311,38 @@ def test_names_of_wrappers_do_not_drop_a_page():
         assert html_extraction.main_blocks(page) == kept, page
 
 
+LONG = "Words of the article that somebody wrote about a thing. " * 3
+
+
+@pytest.mark.parametrize(
+    ("page", "kept"),
+    [
+        ("<article title='The hidden gem' class='overflow hidden x'><p>Seen.</p></article>", ["Seen."]),
+        ("<article><p>Seen.</p><p hidden>a</p><p style='color:red; display : none'>b</p><p aria-hidden=true>c</p></article>", ["Seen."]),
+        ("<article><p data-x=don't>First</p><p>It's second</p></article>", ["First", "It's second"]),
+        ("<article><p data-x=don't>First</p></article>", ["First"]),
+        ('<article><p title="a > b" lang=en/>First</p><p x = \'"\'>Second</p></article>', ["First", "Second"]),
+        ('<article><p>One <a href="x>two</a> three</p></article>', ["One two three"]),
+        ("<article><p>1 < 2 and <3</p></article><p", ["1 < 2 and <3"]),
+        (f"<div><p>{LONG}</p></div><div class=comments><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>", [LONG.strip()]),
+        (f"<article><p>{LONG}</p><ul><li><a href=a>One link</a><li><a href=b>Two</a></ul></article>", [LONG.strip(), "One link", "Two"]),
+        ("<article><SCRIPT type='x'>a < b; '</p>'</ScRiPt ><p>Seen.</p><style>p", ["Seen."]),
+    ],
+)
+def test_pages_as_they_are_written(page, kept):
+    assert [" ".join(t.split()) for t in html_extraction.main_blocks(page)] == [" ".join(t.split()) for t in kept]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b=\">\" ", "<script ", "<!-- ", "<p x='", "<a b=' c=\"", "</", "<p   =", "<p>x"])
+def test_reading_takes_linear_time(piece):
+    def seconds(times):
+        start = time.perf_counter()
+        html_extraction.blocks_of("<p>" + piece * times)
+        return time.perf_counter() - start
+
+    assert min(seconds(64_000) for _ in range(2)) < 20 * max(seconds(8_000), 0.02)
+
+
 def test_minimum_cut_against_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(60):
