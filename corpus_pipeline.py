@@ -15,7 +15,7 @@ from sparktally.llm.common import stored, table
 from sparktally.llm.decontamination import clean_documents
 from sparktally.llm.mixing import mix_sources, repeat_documents
 from sparktally.llm.sharding import shard_records
-from sparktally.llm.simhash import duplicate_groups
+from sparktally.llm.simhash import near_duplicates
 from sparktally.llm.toxicity import score_toxicity
 
 ORACLE_SQL = None
@@ -44,9 +44,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of copies the document with the smallest id; documents without an id stay.
+    """Of each group of near copies the document with the smallest id; documents without an id stay.
 
-    Rows are grouped by a key of their own: rows with one id but different texts are documents
+    Groups are the components of fingerprints of three-word shingles within three bits. Rows are grouped by a key of their own: rows with one id but different texts are documents
     like any other, those equal in id and text are copies. Among rows of a group with one id
     the order of a hash of their texts decides. NULL and empty texts are copies of each other.
     """
@@ -55,9 +55,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> D
     # Stored, so that a row has the same key each time it is read.
     keyed = stored(mine.withColumn("_row", F.monotonically_increasing_id()), "keyed")
     named = keyed.filter(F.col(doc_id).isNotNull())
-    groups = duplicate_groups(named, id_column="_row", text_column=text)
+    groups = near_duplicates(named, id_column="_row", text_column=text)
     order = named.select("_row", F.struct(doc_id, F.xxhash64(text), "_row").alias("order"))
-    firsts = groups.join(order, groups["id"] == order["_row"]).groupBy("keep_id")
+    firsts = groups.join(order, groups["id"] == order["_row"]).groupBy("component_id")
     kept = firsts.agg(F.min("order").alias("first")).select(F.col("first._row").alias("_row"))
     left = named.join(kept, "_row", "left_semi").unionByName(keyed.filter(F.col(doc_id).isNull()))
     return given_back(left, names)
