@@ -39,9 +39,6 @@ MAX_BITS = 3
 GROUP_LIMIT = 20_000
 # Rows that a search task should get on average, pairs that it may hold at once.
 TASK_ROWS = 500_000
-# Parts of a document's vocabulary that get fingerprints of their own.
-PART_WORDS = 32
-PARTS = 8
 PAIRS_AT_ONCE = 2_000_000
 FAN = 8
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -76,50 +73,6 @@ def fingerprint(shingles: Iterator[bytes]) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
-def majority_bits(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Signed 64-bit numbers with the bits (little-endian columns) set in over half of each row."""
-    bits = np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little")
-    return bits.view("<i8").ravel()
-
-
-def part_prints(text: str | None, shingle_words: int) -> list[tuple[int, int]]:
-    """The text's own fingerprint (tag 0) and fingerprints of parts of its vocabulary.
-
-    The different words are dealt by hash into a power of two of parts with at least
-    ``PART_WORDS`` words on average and at most ``PARTS`` parts, and into half as many. A part
-    is a fingerprint of its own, so that a copy with scattered edits still has parts with few
-    or none of them.
-    """
-    prints = [(0, fingerprint(shingles_of(text, shingle_words)))]
-    words = set(text.encode().translate(UPPER).split()) if text else ()
-    if len(words) < PART_WORDS:
-        return prints
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED + 1)), np.uint64)
-    parts = min(PARTS, 1 << (len(words) // PART_WORDS).bit_length() - 1)
-    part = (hashes % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    sizes = np.bincount(part, minlength=parts)
-    # The part numbers take the lowest bits, so the fingerprints' bits are mixed anew.
-    mixed = hashes[order] * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(32)
-    bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    counts = np.zeros((parts, 64), np.int64)
-    filled = np.flatnonzero(sizes)
-    starts = np.cumsum(sizes) - sizes
-    counts[filled] = np.add.reduceat(bits, starts[filled], axis=0, dtype=np.int64)
-    half = max(1, parts // 2)
-    for number, (c, n) in {
-        parts: (counts, sizes),
-        half: (counts.reshape(-1, half, 64).sum(axis=0), sizes.reshape(-1, half).sum(axis=0)),
-    }.items():
-        prints += [
-            (number + k, fp)
-            for k, fp in enumerate(majority_bits(c, n).tolist())
-            if n[k] >= PART_WORDS // 2
-        ]
-    return prints
-
-
 def fingerprints(docs: DataFrame, id_column: str, text_column: str, prints) -> DataFrame:
     """``id``, ``tag`` and ``fp``; ``prints`` gives the (tag, fingerprint) pairs of a text."""
 
@@ -383,41 +336,3 @@ def near_duplicates(
     named = attach(members, components, "root", "fps", members.count())
     named = stored(named.select("fp", "n", "component_id"), "named")
     return attach(rows, named, "fp", "n", rows.count()).select("id", "fp", "component_id")
-
-
-def duplicate_groups(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    shingle_words: int = SHINGLE_WORDS,
-    max_bits: int = MAX_BITS,
-    group_limit: int = GROUP_LIMIT,
-) -> DataFrame:
-    """``id`` and ``keep_id`` (the smallest id of its group) of every document with an id.
-
-    Documents are linked if their fingerprints, or those of a part of their vocabularies, are
-    within ``max_bits`` bits: the links of ``near_duplicates`` and those to copies with
-    scattered edits, down to a similarity of about 0.8 on five-word shingles.
-    """
-
-    def several(text: str | None) -> list[tuple[int, int]]:
-        return part_prints(text, shingle_words)
-
-    found = fingerprints(docs, id_column, text_column, several)
-    rows = stored(found.filter("id IS NOT NULL"), "part-prints")
-    distinct = stored(
-        rows.groupBy("tag", "fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "distinct"
-    )
-    key = F.struct("tag", "fp").alias("key")
-    first = distinct.select(key, "first_id", "n")
-    shared = attach(rows.select("id", key), first, "key", "n", rows.count())
-    same = shared.filter("id <> first_id").select(F.col("id").alias("a"), F.col("first_id").alias("b"))
-    links = stored(links_within(distinct, max_bits, group_limit), "print-links")
-    ends = distinct.select("tag", F.col("fp").alias("b"), F.col("first_id").alias("b_id"))
-    starts = distinct.select("tag", F.col("fp").alias("a"), F.col("first_id").alias("a_id"))
-    # At most one link per fingerprint and group has it as its end a; many can share an end b.
-    named = links.join(starts, ["tag", "a"]).join(ends, ["tag", "b"])
-    apart = named.filter("a_id <> b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-    roots = stars(same.unionByName(apart)).withColumnsRenamed({"node": "id", "root": "keep_id"})
-    ids = rows.filter("tag = 0").select("id").distinct()
-    return ids.join(roots, "id", "left").select("id", F.coalesce("keep_id", "id").alias("keep_id"))
