@@ -22,6 +22,8 @@ from pyspark.sql.types import IntegerType, LongType, StructType
 
 from sparktally.llm.common import fresh_path, give_back, stored
 
+# Shuffle partitions for each bucket, so that hardly any gets several, however many buckets there are.
+PLACES = 4
 RESULT = ["size", "text_crc32", "shard", "part", "slot", "grown_shard"]
 
 
@@ -83,7 +85,7 @@ def shard_records(
 
     scattered = placed.withColumns(
         {"part": part, "grown_shard": best_shard(key, shards + 1, seed)}
-    )
+    ).repartition(PLACES * shards * parts, "shard", "part")
     schema = StructType([*scattered.schema.fields]).add("slot", LongType())
 
     def shuffle(left: pa.Table, right: pa.Table) -> pa.Table:
