@@ -7,10 +7,17 @@ at least 0.8. A line is removed if an earlier line has the same set or one that
 Words are ordered by rarity: their class of frequency over all lines (powers of two, counted
 in ``COUNTERS`` hash buckets, a table of fixed size), then their hash. Two matching sets of n
 and m words share a word among their first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 (prefix
-filter); their sizes are within 0.8 of each other (length filter); and the first common word
-must leave enough words on both sides (positional filter). Sets whose parities (a bit per hash
-of words) differ in more bits than matching sets differ in words are out as well. What passes is verified on the
-words themselves, which are read again for the lines concerned only.
+filter); their sizes are within 0.8 of each other (length filter). Sets whose parities (a bit
+per hash of words) differ in more bits than matching sets differ in words are out as well. So
+are sets with too few prefix words in common (count filter): of the set whose prefix ends first
+in the order, each prefix word that the other set has is in the other's prefix, and at most
+(5 n - 4 m) / 9 of its n words are not among the other's m. What passes is verified on the whole sets
+of words, by 64 bits of each; the lines concerned are read again for that.
+
+Words are hashed and ordered once per line; the result is stored. Prefix words go through one
+shuffle, which both sides of the join read. A third of a set's words in this order is left as
+it is by few edits: sets that share one meet the earliest of them first, and those that match
+it are closed. Only pairs whose later set is open go on to be verified.
 
 Defined cases: a NULL text has no lines; lines without words are never removed. Rows with the
 same id are one document as far as order goes: lines in the same place do not remove each
@@ -25,10 +32,16 @@ from pyspark.sql import functions as F
 
 from sparktally.llm.common import WORD, attach, stored
 
-COUNTERS = 1 << 16
-# Bits of the table that tells which lines verification has to read again.
-FILTER_WORDS = 1 << 16
+COUNTERS = 1 << 18
 CLASS_BITS = 5
+# Bits of the bitmap that tells which lines verification has to read again, in parts of 2^15 as
+# Spark builds them: 512 KB in all.
+BITMAP_BITS = 22
+PART_BITS = 15
+# What names a set: the hashes of its three parts and its size.
+NAME = ["p1", "p2", "p3", "n"]
+# White space inside a line other than the space.
+SPACES = "\t\x0b\x0c\r"
 
 
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -39,52 +52,63 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def words_of(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
+def pieces_of(line: Column) -> Column:
+    """The words in order and some empty pieces, in half the time of a pattern for words."""
+    odd = F.lit(False)
+    for space in SPACES:
+        odd = odd | F.contains(line, F.lit(space))
+    return F.split(F.when(odd, F.translate(line, SPACES, " " * len(SPACES))).otherwise(line), " ")
 
 
-def frequency_classes(lines: DataFrame) -> bytes:
-    """The class of each counter, 0 to 31, as one byte each; the counters cover all lines."""
-    counter = F.pmod(F.xxhash64("word"), F.lit(COUNTERS)).cast("int")
-    words = lines.select(F.explode(words_of(F.col("line"))).alias("word"))
+def hashes_of(line: Column) -> Column:
+    """The set of the words, 64 bits of each."""
+    hashes = F.array_distinct(F.transform(pieces_of(line), lambda word: F.xxhash64(word)))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
+
+
+def frequency_classes(lines: DataFrame) -> list[int]:
+    """The class of each counter, 0 to 31; the counters cover all lines."""
+    words = lines.select(F.explode(pieces_of(F.col("line"))).alias("word")).filter("word != ''")
+    counter = F.xxhash64("word").bitwiseAND(COUNTERS - 1).cast("int")
     counts = words.groupBy(counter.alias("counter")).agg(F.count("*").alias("n"))
-    classes = bytearray(COUNTERS)
+    classes = [0] * COUNTERS
     for row in counts.collect():  # at most COUNTERS rows
         classes[row.counter] = min(row.n.bit_length(), (1 << CLASS_BITS) - 1)
-    return bytes(classes)
+    return classes
 
 
-def ordered_keys(words: Column, classes: bytes) -> Column:
+def ordered_keys(line: Column, classes: list[int]) -> Column:
     """The set's words as numbers in order of rarity: 5 bits of class, 58 of hash."""
-    # One more than the class, as Spark reads a zero byte as the end of nothing.
-    looked_up = F.lit(bytes(c + 1 for c in classes))
+    # Folded by Spark into one array.
+    looked_up = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
-    def key(word: Column) -> Column:
-        h = F.xxhash64(word)
-        place = F.pmod(h, F.lit(COUNTERS)).cast("int") + 1
-        rank = F.ascii(F.substring(looked_up, place, F.lit(1)).cast("string")) - 1
-        return F.shiftleft(rank.cast("bigint"), 63 - CLASS_BITS).bitwiseOR(
-            F.shiftrightunsigned(h, 1 + CLASS_BITS)
-        )
+    def key(h: Column) -> Column:
+        rank = F.get(looked_up, h.bitwiseAND(COUNTERS - 1).cast("int"))
+        whole = F.shiftleft(rank, 63 - CLASS_BITS).bitwiseOR(F.shiftrightunsigned(h, 1 + CLASS_BITS))
+        # Never NULL, and declared so: Spark sorts arrays of plain numbers fastest.
+        return F.coalesce(whole, F.lit(0).cast("bigint"))
 
-    return F.array_sort(F.array_distinct(F.transform(words, key)))
+    return F.sort_array(F.transform(hashes_of(line), key))
 
 
-def line_sets(docs: DataFrame, id_column: str, text_column: str, classes: bytes) -> DataFrame:
-    """Lines with words: place, ``a`` and ``b`` (128 bits that name the set), ``n``, ``prefix``."""
-    lines = lines_of(docs, id_column, text_column).withColumn("words", words_of(F.col("line")))
-    keyed = lines.filter(F.size("words") > 0).withColumn("keys", ordered_keys(F.col("words"), classes))
+def line_sets(docs: DataFrame, id_column: str, text_column: str, classes: list[int]) -> DataFrame:
+    """Lines with words: place, ``p1`` to ``p3`` and ``n`` (which name the set), ``parity``, ``prefix``."""
+    lines = lines_of(docs, id_column, text_column).filter(F.col("line").rlike(WORD))
+    keyed = lines.withColumn("keys", ordered_keys(F.col("line"), classes))
     n = F.size("keys")
+    third = F.floor(n / F.lit(3)).cast("int")
     prefix = F.slice("keys", F.lit(1), (n - F.ceil(n * F.lit(4) / F.lit(5)) + 1).cast("int"))
     return keyed.select(
         "id",
         "line_no",
-        F.xxhash64("keys").alias("a"),
-        F.xxhash64(F.lit(1), "keys").alias("b"),
+        F.xxhash64(F.lit(1), F.slice("keys", F.lit(1), third)).alias("p1"),
+        F.xxhash64(F.lit(2), F.slice("keys", third + 1, n - third * 2)).alias("p2"),
+        F.xxhash64(F.lit(3), F.slice("keys", n - third + 1, third)).alias("p3"),
         F.xxhash64("line").alias("line_hash"),
         n.alias("n"),
         parity("keys").alias("parity"),
-        prefix.alias("prefix"),
+        # 31 bits of each hash: words that share them give a pair too many, never one too few.
+        F.transform(prefix, lambda key: key.bitwiseAND((1 << 31) - 1).cast("int")).alias("prefix"),
     )
 
 
@@ -101,140 +125,166 @@ def parity(keys: str) -> Column:
     return F.aggregate(keys, F.lit(0).cast("bigint"), turned)
 
 
-def prefix_rows(sets: DataFrame, side: str) -> DataFrame:
-    """One row per prefix token of the sets, with ``side`` before the names of its columns."""
-    rows = sets.select("a", "b", "n", "parity", "first", F.posexplode("prefix").alias("place", "key"))
-    return rows.select(*[F.col(c).alias(side + c) for c in rows.columns])
-
-
-def passing() -> Column:
-    """The length, positional and parity filters on rows with one prefix token in common."""
+def alike_enough() -> Column:
+    """The length and parity filters."""
     n, m = F.col("l_n"), F.col("r_n")
-    after = F.least(n - F.col("l_place"), m - F.col("r_place"))
     apart = F.bit_count(F.col("l_parity").bitwiseXOR(F.col("r_parity")))
-    return (
-        (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & (after * 9 >= (n + m) * 4) & (apart * 9 <= n + m)
-    )
+    return (apart * 9 <= n + m) & (F.least(n, m) * 5 >= F.greatest(n, m) * 4)
+
+
+def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows twice, with ``l_`` and ``r_`` before the names of their columns."""
+    return tuple(rows.select(*[F.col(c).alias(side + c) for c in rows.columns]) for side in ("l_", "r_"))
 
 
 def pairs_with_first(sets: DataFrame) -> DataFrame:
-    """Pairs of a set and the earliest one that has a prefix token in common with it.
+    """Pairs of a set and the earliest one with the same part.
 
-    At most one pair per prefix token, whatever the size of a group of near copies.
+    At most three pairs per set, whatever the size of a group of near copies.
     """
-    rows = prefix_rows(sets, "l_")
-    columns = ["first", "a", "b", "n", "parity", "place"]
-    earliest = F.min(F.struct(*[F.col(f"l_{c}").alias(f"r_{c}") for c in columns]))
-    pivots = rows.groupBy("l_key").agg(earliest.alias("pivot"), F.count("*").alias("sets"))
-    pivots = stored(pivots.filter("sets > 1").select("l_key", "pivot.*"), "line-pivots")
-    joined = rows.join(pivots, "l_key").filter(F.struct("l_a", "l_b") != F.struct("r_a", "r_b"))
-    return joined.filter(passing()).select("l_a", "l_b", "r_a", "r_b").distinct()
-
-
-def pairs_with_earlier(sets: DataFrame, still_open: DataFrame) -> DataFrame:
-    """Pairs of the sets that are still open with all earlier ones."""
-    left, right = prefix_rows(still_open, "l_"), prefix_rows(sets, "r_")
-    earlier = (F.col("l_key") == F.col("r_key")) & (F.col("r_first") < F.col("l_first"))
-    return left.join(right, earlier & passing()).select("l_a", "l_b", "r_a", "r_b").distinct()
-
-
-def line_filter(hashes: DataFrame) -> bytes:
-    """A table of ``FILTER_WORDS`` bytes with a bit for each line hash."""
-    place = F.pmod("line_hash", F.lit(FILTER_WORDS)).cast("int")
-    bit = F.expr("shiftleft(1, CAST(pmod(shiftrightunsigned(line_hash, 32), 7) AS INT))")
-    found = hashes.select(place.alias("place"), bit.alias("bit")).groupBy("place").agg(
-        F.bit_or("bit").alias("bits")
+    # Smaller sets have parts of a word, which say little.
+    parts = sets.filter("n >= 6").select(
+        "set", "n", "parity", "first", F.explode(F.array("p1", "p2", "p3")).alias("part")
+    )
+    shared = parts.groupBy("part").agg(F.count("*").alias("sets")).filter("sets > 1")
+    shared = stored(shared.select("part"), "line-parts")
+    left, right = sides(stored(parts.join(shared, "part"), "line-sharers"))
+    columns = ["first", "set", "n", "parity"]
+    earliest = F.min(F.struct(*[f"r_{c}" for c in columns])).alias("pivot")
+    pivots = right.groupBy("r_part").agg(earliest).select("r_part", "pivot.*")
+    joined = left.join(pivots, (F.col("l_part") == F.col("r_part")) & (F.col("l_set") != F.col("r_set")))
+    return joined.filter(alike_enough()).select("l_set", "r_set").distinct()
+
+
+def enough_in_common() -> Column:
+    """The count filter, on the number ``c`` of prefix words that two sets share."""
+    n, m = F.col("l_n"), F.col("r_n")
+
+    def apart(n: Column, m: Column) -> Column:
+        prefix = n - F.ceil(n * F.lit(4) / F.lit(5)) + 1
+        return (prefix - F.col("c")) * 9 <= n * 5 - m * 4
+
+    return apart(n, m) | apart(m, n)
+
+
+def pairs_by_prefix(sets: DataFrame, closed: DataFrame) -> DataFrame:
+    """All pairs of sets that pass the filters, but those of two sets that are closed."""
+    flagged = sets.join(closed.withColumn("closed", F.lit(True)), "set", "left")
+    rows = flagged.select(
+        "set", "n", "parity", F.col("closed").isNull().alias("open"), F.explode("prefix").alias("key")
+    )
+    left, right = sides(rows)
+    # All conditions read both sides, so that the sides stay the same and share their shuffle.
+    met = left.join(
+        right,
+        (F.col("l_key") == F.col("r_key"))
+        & (F.col("l_set") < F.col("r_set"))
+        & alike_enough()
+        & (F.col("l_open") | F.col("r_open")),
+    )
+    counted = met.groupBy("l_set", "r_set", "l_n", "r_n").agg(F.count("*").alias("c"))
+    return counted.filter(enough_in_common()).select("l_set", "r_set")
+
+
+def bitmap_of(hashes: DataFrame) -> bytes:
+    """2^``BITMAP_BITS`` bits, one set for each line hash."""
+    bit = F.col("line_hash").bitwiseAND((1 << BITMAP_BITS) - 1)
+    parts = hashes.groupBy(F.shiftright(bit, PART_BITS).alias("part")).agg(
+        F.bitmap_construct_agg(bit.bitwiseAND((1 << PART_BITS) - 1)).alias("bits")
     )
-    table = bytearray(FILTER_WORDS)
-    for row in found.collect():  # at most FILTER_WORDS rows
-        table[row.place] = row.bits
-    return bytes(table)
+    size = 1 << PART_BITS - 3
+    whole = bytearray(1 << BITMAP_BITS - 3)
+    for row in parts.collect():  # at most 128 rows
+        whole[row.part * size : (row.part + 1) * size] = row.bits
+    return bytes(whole)
 
 
-def may_be_in(line_hash: Column, table: bytes) -> Column:
-    place = F.pmod(line_hash, F.lit(FILTER_WORDS)).cast("int") + 1
-    bits = F.ascii(F.substring(F.lit(table), place, F.lit(1)).cast("string"))
-    shift = F.pmod(F.shiftrightunsigned(line_hash, 32), F.lit(7)).cast("int")
-    return F.shiftright(bits.bitwiseAND(F.call_function("shiftleft", F.lit(1), shift)), 0) > 0
+def may_be_in(line_hash: Column, bitmap: bytes) -> Column:
+    place = F.shiftright(line_hash.bitwiseAND((1 << BITMAP_BITS) - 1), 3).cast("int")
+    byte = F.conv(F.hex(F.substring(F.lit(bitmap), place + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1), line_hash.bitwiseAND(7).cast("int"))
+    return byte.bitwiseAND(mask) > 0
 
 
 def matched(
-    docs: DataFrame, sets: DataFrame, candidates: DataFrame, id_column: str, text_column: str
+    docs: DataFrame,
+    sets: DataFrame,
+    candidates: DataFrame,
+    id_column: str,
+    text_column: str,
+    closed: DataFrame | None = None,
 ) -> DataFrame:
-    """``a``, ``b`` of the left sets that match their right, earlier set.
+    """The later ``set`` of each pair that matches; pairs whose later set is ``closed`` are left out.
 
-    Verified on the words of the sets concerned, which come from the first line of each.
+    The words of the sets concerned come from the first line of each.
     """
     pairs = stored(candidates, "line-pairs")
-    ends = pairs.select(F.col("l_a").alias("a"), F.col("l_b").alias("b")).union(
-        pairs.select("r_a", "r_b")
-    )
-    concerned = stored(
-        sets.join(ends.distinct(), ["a", "b"], "left_semi").select("a", "b", "first"), "concerned"
-    )
-    table = line_filter(concerned.select(F.col("first.line_hash").alias("line_hash")))
-    again = lines_of(docs, id_column, text_column).filter(may_be_in(F.xxhash64("line"), table))
-    again = again.withColumn("first", F.struct("id", "line_no", F.xxhash64("line").alias("line_hash")))
-    words = stored(
-        concerned.join(again.select("first", "line"), "first")
-        .dropDuplicates(["a", "b"])
-        .select("a", "b", "first", F.array_distinct(words_of(F.col("line"))).alias("words")),
-        "line-words",
+    ends = pairs.select(F.explode(F.array("l_set", "r_set")).alias("set")).distinct()
+    firsts = stored(sets.select("set", "n", "first").join(ends, "set", "left_semi"), "line-firsts")
+    left, right = sides(firsts.select("set", F.struct("first.id", "first.line_no").alias("spot")))
+    placed = pairs.join(left, "l_set").join(right, "r_set")
+    # Sets whose first lines share a place (in rows with one id) do not remove each other.
+    is_left = F.col("r_spot") < F.col("l_spot")
+    ordered = placed.filter(is_left | (F.col("l_spot") < F.col("r_spot"))).select(
+        F.when(is_left, F.col("l_set")).otherwise(F.col("r_set")).alias("l_set"),
+        F.when(is_left, F.col("r_set")).otherwise(F.col("l_set")).alias("r_set"),
     )
-    left = words.select(*[F.col(c).alias(f"l_{c}") for c in words.columns])
-    right = words.select(*[F.col(c).alias(f"r_{c}") for c in words.columns])
-    common = F.size(F.array_intersect("l_words", "r_words"))
+    if closed is not None:
+        ordered = ordered.join(closed.withColumnRenamed("set", "l_set"), "l_set", "left_anti")
+    ordered = stored(ordered, "line-ordered")
+    ends = ordered.select(F.explode(F.array("l_set", "r_set")).alias("set")).distinct()
+    concerned = stored(firsts.join(ends, "set", "left_semi"), "line-concerned")
+    bitmap = bitmap_of(concerned.select("first.line_hash"))
+    line_hash = F.xxhash64("line")
+    again = lines_of(docs, id_column, text_column).filter(may_be_in(line_hash, bitmap))
+    again = again.withColumn("first", F.struct("id", "line_no", line_hash.alias("line_hash")))
+    found = concerned.join(again.select("first", "line"), "first").dropDuplicates(["set"])
+    left, right = sides(stored(found.select("set", "n", "line"), "line-texts"))
+    common = F.size(F.array_intersect(hashes_of(F.col("l_line")), hashes_of(F.col("r_line"))))
     alike = (
-        pairs.join(left, ["l_a", "l_b"])
-        .join(right, ["r_a", "r_b"])
-        .filter(common * 9 >= (F.size("l_words") + F.size("r_words")) * 4)
+        ordered.join(left, "l_set").join(right, "r_set").filter(common * 9 >= (F.col("l_n") + F.col("r_n")) * 4)
     )
-    # Sets whose first lines share a place (in rows with one id) do not remove each other.
-    l_place, r_place = F.struct("l_first.id", "l_first.line_no"), F.struct("r_first.id", "r_first.line_no")
-    later = alike.filter(r_place < l_place)
-    return stored(later.select(F.col("l_a").alias("a"), F.col("l_b").alias("b")).distinct(), "line-matches")
+    return stored(alike.select(F.col("l_set").alias("set")).distinct(), "line-matches")
 
 
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id``, ``line_no`` and ``reason`` (same or similar) of every line to remove."""
     classes = frequency_classes(lines_of(docs, id_column, text_column))
-    lines = line_sets(docs, id_column, text_column, classes)
-    sets = stored(
-        lines.groupBy("a", "b").agg(
-            F.min(F.struct("id", "line_no", "line_hash")).alias("first"),
-            F.first("n").alias("n"),
-            F.first("parity").alias("parity"),
-            F.first("prefix").alias("prefix"),
-            F.count("*").alias("rows"),
-        ),
-        "line-sets",
+    lines = stored(line_sets(docs, id_column, text_column, classes), "lines")
+    grouped = lines.groupBy(*NAME).agg(
+        F.min(F.struct("id", "line_no", "line_hash")).alias("first"),
+        F.first("parity").alias("parity"),
+        F.first("prefix").alias("prefix"),
+        F.count("*").alias("rows"),
     )
+    sets = stored(grouped.withColumn("set", F.monotonically_increasing_id()), "line-sets")
     # Near copies are mostly found by their group's earliest set; only what is still open after
-    # that meets all earlier sets, so a group of near copies does not make all its pairs.
+    # that meets all other sets, so a group of near copies does not make all its pairs.
     by_first = matched(docs, sets, pairs_with_first(sets), id_column, text_column)
-    still_open = sets.join(by_first, ["a", "b"], "left_anti")
-    by_others = matched(docs, sets, pairs_with_earlier(sets, still_open), id_column, text_column)
-    later = by_first.unionByName(by_others)
+    by_others = matched(docs, sets, pairs_by_prefix(sets, by_first), id_column, text_column, by_first)
+    later = by_first.union(by_others).withColumn("later", F.lit(True))
 
-    known = sets.select("a", "b", "first", "rows").join(
-        later.withColumn("similar", F.lit(True)), ["a", "b"], "left"
-    )
-    narrow = stored(lines.select("id", "line_no", "a", "b"), "line-places")
+    known = sets.select("set", *NAME, "first", "rows").join(later, "set", "left")
+    known = known.withColumn("similar", F.col("later").isNotNull())
     decided = stored(
-        known.select(
-            F.struct("a", "b").alias("set"),
+        known.filter(F.col("similar") | (F.col("rows") > 1)).select(
+            F.struct(*NAME).alias("name"),
             F.col("first.id").alias("first_id"),
             F.col("first.line_no").alias("first_no"),
             "rows",
-            F.coalesce("similar", F.lit(False)).alias("similar"),
+            "similar",
         ),
         "line-decisions",
     )
-    placed = narrow.select("id", "line_no", F.struct("a", "b").alias("set"))
-    total = narrow.count()
-    joined = attach(placed, decided, "set", "rows", total)
+    # A set of one line is its first; only the lines of the others have to be looked up.
+    alone = decided.filter("rows = 1").select(
+        F.col("first_id").alias("id"), F.col("first_no").alias("line_no"), "similar"
+    )
+    placed = lines.select("id", "line_no", F.struct(*NAME).alias("name"))
+    joined = attach(placed, decided.filter("rows > 1"), "name", "rows", lines.count())
     is_first = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line_no") == F.col("first_no"))
-    return joined.filter(F.col("similar") | ~is_first).select(
+    several = joined.filter(F.col("similar") | ~is_first).select("id", "line_no", "similar")
+    return alone.union(several).select(
         "id", "line_no", F.when(F.col("similar"), "similar").otherwise("same").alias("reason")
     )
 

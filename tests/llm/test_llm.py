@@ -19,8 +19,16 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sparktally.llm import decontamination, html_extraction, mixing, queries, toxicity
+from sparktally.llm.common import stored
 from sparktally.llm.exact_dedup import new_index
-from sparktally.llm.line_dedup import repeated_lines, without_lines
+from sparktally.llm.line_dedup import (
+    frequency_classes,
+    line_sets,
+    lines_of,
+    pairs_by_prefix,
+    repeated_lines,
+    without_lines,
+)
 from sparktally.llm.oracles import LLM_ORACLES
 from sparktally.llm.quality import isotonic, score_quality, statistics
 from sparktally.llm.sharding import best_shard, fisher_yates, shard_records
@@ -267,6 +275,55 @@ def test_lines_of_odd_rows(spark, odd, empty):
     assert repeated_lines(empty).count() == 0
 
 
+def near_lines(seed):
+    """Lines of 1 to 60 of 90 words, most of them with a few words changed in an earlier one."""
+    rng = np.random.default_rng(seed)
+    lines = []
+    for _ in range(150):
+        words = rng.choice(90, rng.integers(1, 60), replace=False).tolist()
+        if lines and rng.random() < 0.7:
+            words = list(lines[rng.integers(len(lines))])
+            for place in rng.integers(0, len(words), rng.integers(0, 6)).tolist():
+                words[place] = int(rng.integers(90))
+        lines.append(words)
+    spaces = [" ", "  ", "\t", "\x0b", "\r ", "\x0c"]
+    return [rng.choice(spaces).join(f"w{w}" for w in words) for words in lines]
+
+
+def alike(x, y):
+    return 9 * len(x & y) >= 4 * (len(x) + len(y))
+
+
+def test_lines_against_all_pairs(spark):
+    lines = near_lines(3)
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string")
+    sets = [frozenset(re.findall(r"[^\x20\x09-\x0D]+", line)) for line in lines]
+    firsts = {}
+    for i, words in enumerate(sets):
+        firsts.setdefault(words, i)
+    similar = {x for x in firsts if any(firsts[y] < firsts[x] and alike(x, y) for y in firsts if y != x)}
+    expected = {(i, 0, "similar" if x in similar else "same") for i, x in enumerate(sets) if x in similar or firsts[x] != i}
+    assert len(similar) > 20 and {tuple(r) for r in repeated_lines(docs).collect()} == expected
+
+
+def test_prefix_words_of_lines_are_shuffled_once(spark):
+    docs = spark.createDataFrame(list(enumerate(near_lines(4))), "doc_id long, text string")
+    lines = line_sets(docs, "doc_id", "text", frequency_classes(lines_of(docs, "doc_id", "text")))
+    sets = stored(lines.withColumn("set", F.monotonically_increasing_id()), "sets")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = pairs_by_prefix(sets, sets.select("set").limit(0))
+        found = {tuple(r) for r in pairs.collect()}
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
+    # Filters lose no pair of lines that match.
+    words = {r.set: frozenset(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in sets.join(docs, F.col("id") == F.col("doc_id")).collect()}
+    expected = {(x, y) for x in words for y in words if x < y and alike(words[x], words[y])}
+    assert len(expected) > 20 and expected <= found
+
+
 # HTML
 
 
