@@ -590,6 +590,18 @@ def test_hits_are_found_by_joins(spark):
 # Pipeline
 
 
+def test_stored_texts_are_smaller_than_by_default(spark, tmp_path):
+    docs = corpus_pipeline.table(spark, TABLES, "documents")
+    again = stored(docs, "texts")
+    docs.write.parquet(str(tmp_path / "plain"))
+    plain = spark.read.parquet(str(tmp_path / "plain"))
+
+    def size(rows):
+        return sum(os.path.getsize(f.removeprefix("file://")) for f in rows.inputFiles())
+
+    assert rows_of(again) == rows_of(docs) and size(again) < 0.8 * size(plain)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     columns = docs.columns
