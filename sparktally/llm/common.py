@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import tempfile
 import uuid
@@ -57,6 +58,18 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query are deleted at its end, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

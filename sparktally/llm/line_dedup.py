@@ -4,20 +4,23 @@ A line is the set of its words. Lines with equal sets are one set, which the fir
 (smallest doc id, then line number) stands for. Two sets match if their Jaccard similarity is
 at least 0.8. A line is removed if an earlier line has the same set or one that matches.
 
-Words are ordered by rarity: their class of frequency over all lines (powers of two, counted
-in ``COUNTERS`` hash buckets, a table of fixed size), then their hash. Two matching sets of n
-and m words share a word among their first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 (prefix
-filter); their sizes are within 0.8 of each other (length filter). Sets whose parities (a bit
-per hash of words) differ in more bits than matching sets differ in words are out as well. So
-are sets with too few prefix words in common (count filter): of the set whose prefix ends first
-in the order, each prefix word that the other set has is in the other's prefix, and at most
-(5 n - 4 m) / 9 of its n words are not among the other's m. What passes is verified on the whole sets
-of words, by 64 bits of each; the lines concerned are read again for that.
-
-Words are hashed and ordered once per line; the result is stored. Prefix words go through one
-shuffle, which both sides of the join read. A third of a set's words in this order is left as
-it is by few edits: sets that share one meet the earliest of them first, and those that match
-it are closed. Only pairs whose later set is open go on to be verified.
+Words have one order for all lines: the longest first, as long words are rare, then by hash.
+Neighbours in this order make the links of a set. Of two matching sets x and y of n and m words,
+a word that only x has breaks two links of x, a word that only y has at most one: (2 n - m) / 3
+links of x at most, and as m is at least 0.8 n, no more than 0.4 n. So the sets share one of
+their first floor(0.4 n) + 1 and floor(0.4 m) + 1 links, their prefixes (sets of fewer than four
+words match no other). Two words that follow each other are far rarer than one.
+
+Sets that share a link are out if their sizes differ too much (length filter), if their parities
+(a bit per hash of words) differ in more bits than matching sets differ in words, or if they
+share too few links (count filter): of the set whose prefix ends first in the order, each link
+that the other set has is in the other's prefix. What passes is verified on the whole sets of
+words, by 64 bits of each; the lines concerned are read again for that.
+
+Links are shuffled once, sorted by link and place. Sets meet the earliest one with the same
+link first, and those that match it are closed. Only pairs whose later set is open go on, so a
+group of near copies does not make all its pairs. Links of few sets are done within that sort;
+only the sets of the others are joined.
 
 Defined cases: a NULL text has no lines; lines without words are never removed. Rows with the
 same id are one document as far as order goes: lines in the same place do not remove each
@@ -27,19 +30,30 @@ not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import WORD, attach, stored
+from sparktally.llm.common import WORD, attach, shuffles_dropped, stored
 
 COUNTERS = 1 << 18
 CLASS_BITS = 5
+# The longest word and more, and an id before all others.
+LONGEST = (1 << CLASS_BITS) - 1
+NO_ID = -(1 << 63)
 # Bits of the bitmap that tells which lines verification has to read again, in parts of 2^15 as
-# Spark builds them: 512 KB in all.
-BITMAP_BITS = 22
+# Spark builds them: 8 MB in all, broadcast.
+BITMAP_BITS = 26
 PART_BITS = 15
-# What names a set: the hashes of its three parts and its size.
-NAME = ["p1", "p2", "p3", "n"]
+# A set meets so many of the sets before it in the sort that finds shared links. Links of few
+# enough sets, two more, are done with that; only the others are joined.
+BEFORE = 3
+# Links are shuffled in so many parts, one after the other, a power of two: the files of one part
+# are gone before the next.
+PARTS = 2
+# What names a set: 128 bits of its words' hashes and its size.
+NAME = ["h1", "h2", "n"]
 # White space inside a line other than the space.
 SPACES = "\t\x0b\x0c\r"
 
@@ -67,51 +81,71 @@ def hashes_of(line: Column) -> Column:
 
 
 def frequency_classes(lines: DataFrame) -> list[int]:
-    """The class of each counter, 0 to 31; the counters cover all lines."""
+    """The class of frequency (powers of two) of each counter, 0 to 31; the counters cover all lines."""
     words = lines.select(F.explode(pieces_of(F.col("line"))).alias("word")).filter("word != ''")
     counter = F.xxhash64("word").bitwiseAND(COUNTERS - 1).cast("int")
     counts = words.groupBy(counter.alias("counter")).agg(F.count("*").alias("n"))
     classes = [0] * COUNTERS
     for row in counts.collect():  # at most COUNTERS rows
-        classes[row.counter] = min(row.n.bit_length(), (1 << CLASS_BITS) - 1)
+        classes[row.counter] = min(row.n.bit_length(), LONGEST)
     return classes
 
 
-def ordered_keys(line: Column, classes: list[int]) -> Column:
-    """The set's words as numbers in order of rarity: 5 bits of class, 58 of hash."""
-    # Folded by Spark into one array.
-    looked_up = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+def ordered_keys(line: Column, classes: list[int] | None) -> Column:
+    """The set's words as numbers in their order: 5 bits of rank, 58 of hash."""
 
-    def key(h: Column) -> Column:
-        rank = F.get(looked_up, h.bitwiseAND(COUNTERS - 1).cast("int"))
-        whole = F.shiftleft(rank, 63 - CLASS_BITS).bitwiseOR(F.shiftrightunsigned(h, 1 + CLASS_BITS))
+    def whole(rank: Column, h: Column) -> Column:
+        key = F.shiftleft(rank, 63 - CLASS_BITS).bitwiseOR(F.shiftrightunsigned(h, 1 + CLASS_BITS))
         # Never NULL, and declared so: Spark sorts arrays of plain numbers fastest.
-        return F.coalesce(whole, F.lit(0).cast("bigint"))
+        return F.coalesce(key, F.lit(0).cast("bigint"))
 
-    return F.sort_array(F.transform(hashes_of(line), key))
+    if classes is None:
 
+        def key(word: Column) -> Column:
+            rank = LONGEST - F.least(F.octet_length(word), F.lit(LONGEST))
+            return whole(rank.cast("bigint"), F.xxhash64(word))
+
+        keys = F.array_distinct(F.transform(pieces_of(line), key))
+        return F.sort_array(F.array_remove(keys, key(F.lit(""))))
+    # Folded by Spark into one array.
+    looked_up = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+    counter = lambda h: h.bitwiseAND(COUNTERS - 1).cast("int")
+    return F.sort_array(F.transform(hashes_of(line), lambda h: whole(F.get(looked_up, counter(h)), h)))
+
+
+def line_sets(
+    docs: DataFrame, id_column: str, text_column: str, classes: list[int] | None = None
+) -> DataFrame:
+    """Lines with words: place, ``h1``, ``h2`` and ``n`` (which name the set), ``parity``, ``prefix``.
 
-def line_sets(docs: DataFrame, id_column: str, text_column: str, classes: list[int]) -> DataFrame:
-    """Lines with words: place, ``p1`` to ``p3`` and ``n`` (which name the set), ``parity``, ``prefix``."""
+    ``classes`` order the words by ``frequency_classes`` instead of length, for one more pass
+    over all words.
+    """
     lines = lines_of(docs, id_column, text_column).filter(F.col("line").rlike(WORD))
     keyed = lines.withColumn("keys", ordered_keys(F.col("line"), classes))
     n = F.size("keys")
-    third = F.floor(n / F.lit(3)).cast("int")
-    prefix = F.slice("keys", F.lit(1), (n - F.ceil(n * F.lit(4) / F.lit(5)) + 1).cast("int"))
+
+    def link(key: Column, place: Column) -> Column:
+        # 32 bits: links that share them give a pair too many, never one too few.
+        return F.shiftright(F.xxhash64(key, F.get("keys", place + 1)), 32).cast("int")
+
     return keyed.select(
         "id",
         "line_no",
-        F.xxhash64(F.lit(1), F.slice("keys", F.lit(1), third)).alias("p1"),
-        F.xxhash64(F.lit(2), F.slice("keys", third + 1, n - third * 2)).alias("p2"),
-        F.xxhash64(F.lit(3), F.slice("keys", n - third + 1, third)).alias("p3"),
+        F.xxhash64(F.lit(1), "keys").alias("h1"),
+        F.xxhash64(F.lit(2), "keys").alias("h2"),
         F.xxhash64("line").alias("line_hash"),
         n.alias("n"),
         parity("keys").alias("parity"),
-        # 31 bits of each hash: words that share them give a pair too many, never one too few.
-        F.transform(prefix, lambda key: key.bitwiseAND((1 << 31) - 1).cast("int")).alias("prefix"),
+        F.transform(F.slice("keys", F.lit(1), prefix_links(n)), link).alias("prefix"),
     )
 
 
+def prefix_links(n: Column) -> Column:
+    """How many links the prefix of a set of ``n`` words has."""
+    return F.when(n < 4, 0).otherwise(F.floor(n * F.lit(2) / F.lit(5)) + 1).cast("int")
+
+
 def parity(keys: str) -> Column:
     """64 bits, each set if an odd number of the keys falls on it.
 
@@ -125,10 +159,10 @@ def parity(keys: str) -> Column:
     return F.aggregate(keys, F.lit(0).cast("bigint"), turned)
 
 
-def alike_enough() -> Column:
+def alike_enough(left: str = "l_", right: str = "r_") -> Column:
     """The length and parity filters."""
-    n, m = F.col("l_n"), F.col("r_n")
-    apart = F.bit_count(F.col("l_parity").bitwiseXOR(F.col("r_parity")))
+    n, m = F.col(f"{left}n"), F.col(f"{right}n")
+    apart = F.bit_count(F.col(f"{left}parity").bitwiseXOR(F.col(f"{right}parity")))
     return (apart * 9 <= n + m) & (F.least(n, m) * 5 >= F.greatest(n, m) * 4)
 
 
@@ -137,120 +171,157 @@ def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(rows.select(*[F.col(c).alias(side + c) for c in rows.columns]) for side in ("l_", "r_"))
 
 
-def pairs_with_first(sets: DataFrame) -> DataFrame:
-    """Pairs of a set and the earliest one with the same part.
+def prefix_rows(sets: DataFrame) -> DataFrame:
+    """A row per set and link of its prefix; ``id`` may be that of the set's first line."""
+    place = F.coalesce("id", F.lit(NO_ID)).alias("id")
+    return sets.select("set", place, "n", "parity", F.explode("prefix").alias("key"))
+
+
+def sharing_rows(rows: DataFrame) -> DataFrame:
+    """The rows whose link several sets have, and the sets that they meet by it.
 
-    At most three pairs per set, whatever the size of a group of near copies.
+    ``pivot`` is the earliest set with the link. ``others`` are those between it and the row,
+    where the sort has them all: ``many`` tells that it has not. Both hold only what passes the
+    filters. Rows that nothing of this concerns are left out.
     """
-    # Smaller sets have parts of a word, which say little.
-    parts = sets.filter("n >= 6").select(
-        "set", "n", "parity", "first", F.explode(F.array("p1", "p2", "p3")).alias("part")
+    link = Window.partitionBy("key").orderBy("id", "set")
+    whole = link.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shared = rows.withColumn("sets", F.count("*").over(whole)).filter("sets > 1")
+    shared = shared.withColumn("place", F.row_number().over(link)).withColumn("many", F.col("sets") > BEFORE + 2)
+    one = F.struct("id", "set", "n", "parity")
+    met = shared.withColumn("_first", F.first(one).over(whole))
+    for back in range(1, BEFORE + 1):
+        met = met.withColumn(f"_before{back}", F.lag(one, back).over(link))
+    pivot = F.when((F.col("place") > 1) & alike_enough("", "_first."), F.col("_first.set"))
+    others = [
+        F.when(
+            ~F.col("many") & (F.col("place") > back + 1) & alike_enough("", f"_before{back}."),
+            F.col(f"_before{back}"),
+        )
+        for back in range(1, BEFORE + 1)
+    ]
+    found = met.withColumn("pivot", pivot).withColumn("others", F.array_compact(F.array(*others)))
+    found = found.filter(F.col("many") | F.col("pivot").isNotNull() | (F.size("others") > 0))
+    return found.select(*rows.columns, "many", "pivot", "others")
+
+
+def pairs_with_first(sharing: DataFrame) -> DataFrame:
+    """Pairs of a set and a pivot: at most one per link, whatever the size of a group of near copies."""
+    pairs = sharing.filter("pivot IS NOT NULL")
+    return pairs.select(F.col("set").alias("l_set"), F.col("pivot").alias("r_set")).distinct()
+
+
+def pairs_with_others(sharing: DataFrame, closed: DataFrame) -> DataFrame:
+    """Pairs of sets that are no pivots, but those whose later set is closed."""
+    met = sharing.select("set", "id", "n", F.explode("others").alias("other"))
+    pairs = met.select(
+        # Either may be the later one if both ids are equal.
+        F.when(F.col("other.id") < F.col("id"), F.col("set")).alias("later"),
+        F.least("set", "other.set").alias("l_set"),
+        F.greatest("set", "other.set").alias("r_set"),
+        F.when(F.col("set") < F.col("other.set"), F.col("n")).otherwise(F.col("other.n")).alias("l_n"),
+        F.when(F.col("set") < F.col("other.set"), F.col("other.n")).otherwise(F.col("n")).alias("r_n"),
     )
-    shared = parts.groupBy("part").agg(F.count("*").alias("sets")).filter("sets > 1")
-    shared = stored(shared.select("part"), "line-parts")
-    left, right = sides(stored(parts.join(shared, "part"), "line-sharers"))
-    columns = ["first", "set", "n", "parity"]
-    earliest = F.min(F.struct(*[f"r_{c}" for c in columns])).alias("pivot")
-    pivots = right.groupBy("r_part").agg(earliest).select("r_part", "pivot.*")
-    joined = left.join(pivots, (F.col("l_part") == F.col("r_part")) & (F.col("l_set") != F.col("r_set")))
-    return joined.filter(alike_enough()).select("l_set", "r_set").distinct()
+    pairs = pairs.join(closed.withColumnRenamed("set", "later"), "later", "left_anti").drop("later")
+    joined = pairs_of_rows(sharing.filter("many").select("set", "id", "n", "parity", "key"), closed)
+    # Those that lack links here, because one of the two is a pivot there, have met as such.
+    return in_common(pairs.unionByName(joined))
 
 
 def enough_in_common() -> Column:
-    """The count filter, on the number ``c`` of prefix words that two sets share."""
+    """The count filter, on the number ``c`` of prefix links that two sets share."""
     n, m = F.col("l_n"), F.col("r_n")
 
     def apart(n: Column, m: Column) -> Column:
-        prefix = n - F.ceil(n * F.lit(4) / F.lit(5)) + 1
-        return (prefix - F.col("c")) * 9 <= n * 5 - m * 4
+        return (prefix_links(n) - F.col("c")) * 3 <= n * 2 - m
 
     return apart(n, m) | apart(m, n)
 
 
-def pairs_by_prefix(sets: DataFrame, closed: DataFrame) -> DataFrame:
-    """All pairs of sets that pass the filters, but those of two sets that are closed."""
-    flagged = sets.join(closed.withColumn("closed", F.lit(True)), "set", "left")
-    rows = flagged.select(
-        "set", "n", "parity", F.col("closed").isNull().alias("open"), F.explode("prefix").alias("key")
+def in_common(met: DataFrame) -> DataFrame:
+    """The pairs that pass the count filter; ``met`` has a row per pair and link."""
+    counted = met.groupBy("l_set", "r_set", "l_n", "r_n").agg(F.count("*").alias("c"))
+    return counted.filter(enough_in_common()).select("l_set", "r_set")
+
+
+def pairs_of_rows(rows: DataFrame, closed: DataFrame) -> DataFrame:
+    """Pairs of sets by each link they share, but those whose later set is closed."""
+    flagged = rows.join(closed.withColumn("closed", F.lit(True)), "set", "left")
+    left, right = sides(flagged.withColumn("open", F.col("closed").isNull()).drop("closed"))
+    # Either may be the later one if both ids are equal.
+    later_open = ((F.col("l_id") <= F.col("r_id")) & F.col("r_open")) | (
+        (F.col("r_id") <= F.col("l_id")) & F.col("l_open")
     )
-    left, right = sides(rows)
     # All conditions read both sides, so that the sides stay the same and share their shuffle.
     met = left.join(
         right,
-        (F.col("l_key") == F.col("r_key"))
-        & (F.col("l_set") < F.col("r_set"))
-        & alike_enough()
-        & (F.col("l_open") | F.col("r_open")),
+        (F.col("l_key") == F.col("r_key")) & (F.col("l_set") < F.col("r_set")) & alike_enough() & later_open,
     )
-    counted = met.groupBy("l_set", "r_set", "l_n", "r_n").agg(F.count("*").alias("c"))
-    return counted.filter(enough_in_common()).select("l_set", "r_set")
+    return met.select("l_set", "r_set", "l_n", "r_n")
 
 
-def bitmap_of(hashes: DataFrame) -> bytes:
-    """2^``BITMAP_BITS`` bits, one set for each line hash."""
+def pairs_by_prefix(sets: DataFrame, closed: DataFrame) -> DataFrame:
+    """All pairs of sets that pass the filters, but those whose later set is closed."""
+    return in_common(pairs_of_rows(prefix_rows(sets), closed))
+
+
+def bitmap_of(hashes: DataFrame) -> DataFrame:
+    """2^``BITMAP_BITS`` bits, one set for each line hash: parts of 4 KB, those without a bit left out."""
     bit = F.col("line_hash").bitwiseAND((1 << BITMAP_BITS) - 1)
-    parts = hashes.groupBy(F.shiftright(bit, PART_BITS).alias("part")).agg(
+    return hashes.groupBy(F.shiftright(bit, PART_BITS).alias("part")).agg(
         F.bitmap_construct_agg(bit.bitwiseAND((1 << PART_BITS) - 1)).alias("bits")
     )
-    size = 1 << PART_BITS - 3
-    whole = bytearray(1 << BITMAP_BITS - 3)
-    for row in parts.collect():  # at most 128 rows
-        whole[row.part * size : (row.part + 1) * size] = row.bits
-    return bytes(whole)
 
 
-def may_be_in(line_hash: Column, bitmap: bytes) -> Column:
-    place = F.shiftright(line_hash.bitwiseAND((1 << BITMAP_BITS) - 1), 3).cast("int")
-    byte = F.conv(F.hex(F.substring(F.lit(bitmap), place + 1, F.lit(1))), 16, 10).cast("int")
-    mask = F.call_function("shiftleft", F.lit(1), line_hash.bitwiseAND(7).cast("int"))
-    return byte.bitwiseAND(mask) > 0
+def may_be_in(lines: DataFrame, bitmap: DataFrame) -> DataFrame:
+    """The lines whose ``line_hash`` has its bit set."""
+    bit = F.col("line_hash").bitwiseAND((1 << BITMAP_BITS) - 1)
+    parts = lines.withColumn("part", F.shiftright(bit, PART_BITS)).join(F.broadcast(bitmap), "part")
+    place = F.shiftright(bit.bitwiseAND((1 << PART_BITS) - 1), 3).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", place + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1), bit.bitwiseAND(7).cast("int"))
+    return parts.filter(byte.bitwiseAND(mask) > 0).drop("part", "bits")
 
 
 def matched(
-    docs: DataFrame,
-    sets: DataFrame,
-    candidates: DataFrame,
-    id_column: str,
-    text_column: str,
-    closed: DataFrame | None = None,
+    docs: DataFrame, sets: DataFrame, candidates: DataFrame, id_column: str, text_column: str
 ) -> DataFrame:
-    """The later ``set`` of each pair that matches; pairs whose later set is ``closed`` are left out.
+    """The later ``set`` of each pair that matches.
 
     The words of the sets concerned come from the first line of each.
     """
     pairs = stored(candidates, "line-pairs")
     ends = pairs.select(F.explode(F.array("l_set", "r_set")).alias("set")).distinct()
-    firsts = stored(sets.select("set", "n", "first").join(ends, "set", "left_semi"), "line-firsts")
-    left, right = sides(firsts.select("set", F.struct("first.id", "first.line_no").alias("spot")))
-    placed = pairs.join(left, "l_set").join(right, "r_set")
+    concerned = stored(sets.select("set", "n", "first").join(ends, "set", "left_semi"), "line-concerned")
+    lines = lines_of(docs, id_column, text_column).withColumn("line_hash", F.xxhash64("line"))
+    again = may_be_in(lines, bitmap_of(concerned.select("first.line_hash")))
+    again = again.select(F.struct("id", "line_no", "line_hash").alias("first"), "line")
+    # Several rows may have the place and line of one first.
+    found = concerned.join(again, "first").dropDuplicates(["set"])
+    spot = F.struct("first.id", "first.line_no").alias("spot")
+    words = stored(found.select("set", "n", spot, hashes_of(F.col("line")).alias("words")), "line-words")
+    left, right = sides(words)
+    common = F.size(F.array_intersect("l_words", "r_words"))
+    alike = (
+        pairs.join(left, "l_set").join(right, "r_set").filter(common * 9 >= (F.col("l_n") + F.col("r_n")) * 4)
+    )
     # Sets whose first lines share a place (in rows with one id) do not remove each other.
     is_left = F.col("r_spot") < F.col("l_spot")
-    ordered = placed.filter(is_left | (F.col("l_spot") < F.col("r_spot"))).select(
-        F.when(is_left, F.col("l_set")).otherwise(F.col("r_set")).alias("l_set"),
-        F.when(is_left, F.col("r_set")).otherwise(F.col("l_set")).alias("r_set"),
+    later = alike.filter(is_left | (F.col("l_spot") < F.col("r_spot"))).select(
+        F.when(is_left, F.col("l_set")).otherwise(F.col("r_set")).alias("set")
     )
-    if closed is not None:
-        ordered = ordered.join(closed.withColumnRenamed("set", "l_set"), "l_set", "left_anti")
-    ordered = stored(ordered, "line-ordered")
-    ends = ordered.select(F.explode(F.array("l_set", "r_set")).alias("set")).distinct()
-    concerned = stored(firsts.join(ends, "set", "left_semi"), "line-concerned")
-    bitmap = bitmap_of(concerned.select("first.line_hash"))
-    line_hash = F.xxhash64("line")
-    again = lines_of(docs, id_column, text_column).filter(may_be_in(line_hash, bitmap))
-    again = again.withColumn("first", F.struct("id", "line_no", line_hash.alias("line_hash")))
-    found = concerned.join(again.select("first", "line"), "first").dropDuplicates(["set"])
-    left, right = sides(stored(found.select("set", "n", "line"), "line-texts"))
-    common = F.size(F.array_intersect(hashes_of(F.col("l_line")), hashes_of(F.col("r_line"))))
-    alike = (
-        ordered.join(left, "l_set").join(right, "r_set").filter(common * 9 >= (F.col("l_n") + F.col("r_n")) * 4)
-    )
-    return stored(alike.select(F.col("l_set").alias("set")).distinct(), "line-matches")
+    return stored(later.distinct(), "line-matches")
 
 
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id``, ``line_no`` and ``reason`` (same or similar) of every line to remove."""
-    classes = frequency_classes(lines_of(docs, id_column, text_column))
-    lines = stored(line_sets(docs, id_column, text_column, classes), "lines")
+    # Each step stores its rows, so the files of its shuffles need not outlive it.
+    with shuffles_dropped(docs.sparkSession):
+        return found_lines(docs, id_column, text_column)
+
+
+def found_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    lines = stored(line_sets(docs, id_column, text_column), "lines")
     grouped = lines.groupBy(*NAME).agg(
         F.min(F.struct("id", "line_no", "line_hash")).alias("first"),
         F.first("parity").alias("parity"),
@@ -258,11 +329,13 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.count("*").alias("rows"),
     )
     sets = stored(grouped.withColumn("set", F.monotonically_increasing_id()), "line-sets")
-    # Near copies are mostly found by their group's earliest set; only what is still open after
-    # that meets all other sets, so a group of near copies does not make all its pairs.
-    by_first = matched(docs, sets, pairs_with_first(sets), id_column, text_column)
-    by_others = matched(docs, sets, pairs_by_prefix(sets, by_first), id_column, text_column, by_first)
-    later = by_first.union(by_others).withColumn("later", F.lit(True))
+    links = prefix_rows(sets.withColumn("id", F.col("first.id")))
+    part = F.col("key").bitwiseAND(PARTS - 1)
+    parts = [stored(sharing_rows(links.filter(part == k)), "line-sharers") for k in range(PARTS)]
+    sharing = functools.reduce(DataFrame.union, parts)
+    by_first = matched(docs, sets, pairs_with_first(sharing), id_column, text_column)
+    by_others = matched(docs, sets, pairs_with_others(sharing, by_first), id_column, text_column)
+    later = by_first.union(by_others).distinct().withColumn("later", F.lit(True))
 
     known = sets.select("set", *NAME, "first", "rows").join(later, "set", "left")
     known = known.withColumn("similar", F.col("later").isNotNull())

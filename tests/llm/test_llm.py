@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparktally.llm import decontamination, html_extraction, mixing, queries, toxicity
+from sparktally.llm import decontamination, html_extraction, line_dedup, mixing, queries, toxicity
 from sparktally.llm.common import stored
 from sparktally.llm.exact_dedup import new_index
 from sparktally.llm.line_dedup import (
@@ -324,6 +324,18 @@ def test_prefix_words_of_lines_are_shuffled_once(spark):
     assert len(expected) > 20 and expected <= found
 
 
+def test_lines_need_no_counters_and_keep_no_shuffles(spark, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen = []
+    # Nothing of the size of a vocabulary goes through the driver.
+    monkeypatch.setattr(line_dedup, "frequency_classes", None)
+    monkeypatch.setattr(line_dedup, "stored", lambda rows, label: seen.append(spark.conf.get(name, None)) or stored(rows, label))
+    before = spark.conf.get(name, None)
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "f a b c d e"), (3, "e d c b a")], "doc_id long, text string")
+    assert {tuple(r) for r in repeated_lines(docs).collect()} == {(2, 0, "similar"), (3, 0, "same")}
+    assert set(seen) == {"true"} and spark.conf.get(name, None) == before
+
+
 # HTML
 
 
