@@ -12,15 +12,16 @@ their first floor(0.4 n) + 1 and floor(0.4 m) + 1 links, their prefixes (sets of
 words match no other). Two words that follow each other are far rarer than one.
 
 Sets that share a link are out if their sizes differ too much (length filter), if their parities
-(a bit per hash of words) differ in more bits than matching sets differ in words, or if they
+(a bit per hash of words, 128 bits for long sets) differ in more bits than matching sets differ in words, or if they
 share too few links (count filter): of the set whose prefix ends first in the order, each link
 that the other set has is in the other's prefix. What passes is verified on the whole sets of
 words, by 64 bits of each; the lines concerned are read again for that.
 
-Links are shuffled once, sorted by link and place. Sets meet the earliest one with the same
-link first, and those that match it are closed. Only pairs whose later set is open go on, so a
-group of near copies does not make all its pairs. Links of few sets are done within that sort;
-only the sets of the others are joined.
+Links are shuffled once. Those that one set has, nearly all, are counted out; the rows of the
+others are sorted by link and place. A set first meets the earliest set of most of its links, and
+is closed if they match: one pair per set, however large a group of near copies is. Only pairs
+whose later set is open go on, again the one with most links first. Links of few sets are done
+within that sort; only the sets of the others are joined.
 
 Defined cases: a NULL text has no lines; lines without words are never removed. Rows with the
 same id are one document as far as order goes: lines in the same place do not remove each
@@ -31,6 +32,7 @@ not read.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,11 +49,13 @@ NO_ID = -(1 << 63)
 BITMAP_BITS = 26
 PART_BITS = 15
 # A set meets so many of the sets before it in the sort that finds shared links. Links of few
-# enough sets, two more, are done with that; only the others are joined.
-BEFORE = 3
+# enough sets, one more, are done with that; only the others are joined.
+BEFORE = 16
 # Links are shuffled in so many parts, one after the other, a power of two: the files of one part
 # are gone before the next.
-PARTS = 2
+PARTS = 4
+# Sets of so many words have 128 bits of parity, smaller ones 64.
+LONG = 100
 # What names a set: 128 bits of its words' hashes and its size.
 NAME = ["h1", "h2", "n"]
 # White space inside a line other than the space.
@@ -116,7 +120,7 @@ def ordered_keys(line: Column, classes: list[int] | None) -> Column:
 def line_sets(
     docs: DataFrame, id_column: str, text_column: str, classes: list[int] | None = None
 ) -> DataFrame:
-    """Lines with words: place, ``h1``, ``h2`` and ``n`` (which name the set), ``parity``, ``prefix``.
+    """Lines with words: place, ``h1``, ``h2`` and ``n`` (which name the set), parities, ``prefix``.
 
     ``classes`` order the words by ``frequency_classes`` instead of length, for one more pass
     over all words.
@@ -136,7 +140,8 @@ def line_sets(
         F.xxhash64(F.lit(2), "keys").alias("h2"),
         F.xxhash64("line").alias("line_hash"),
         n.alias("n"),
-        parity("keys").alias("parity"),
+        parity("keys", lambda key: F.lit(1).cast("bigint")).alias("parity"),
+        F.when(n >= LONG, parity("keys", lambda key: F.shiftright(key, 6).bitwiseAND(1))).alias("half"),
         F.transform(F.slice("keys", F.lit(1), prefix_links(n)), link).alias("prefix"),
     )
 
@@ -146,23 +151,25 @@ def prefix_links(n: Column) -> Column:
     return F.when(n < 4, 0).otherwise(F.floor(n * F.lit(2) / F.lit(5)) + 1).cast("int")
 
 
-def parity(keys: str) -> Column:
-    """64 bits, each set if an odd number of the keys falls on it.
+def parity(keys: str, times: Callable[[Column], Column]) -> Column:
+    """64 bits, each set if an odd number of the keys falls on it; a key counts 0 or 1 times.
 
-    Two sets differ in at least as many words as their parities differ in bits.
+    Two sets differ in at least as many words as their parities differ in bits. The bits of keys
+    that count and of those that do not differ apart, so parities of both kinds tell more.
     """
-    one = F.lit(1).cast("bigint")
 
     def turned(bits: Column, key: Column) -> Column:
-        return bits.bitwiseXOR(F.call_function("shiftleft", one, key.bitwiseAND(F.lit(63)).cast("int")))
+        bit = F.call_function("shiftleft", times(key), key.bitwiseAND(F.lit(63)).cast("int"))
+        return bits.bitwiseXOR(bit)
 
     return F.aggregate(keys, F.lit(0).cast("bigint"), turned)
 
 
-def alike_enough(left: str = "l_", right: str = "r_") -> Column:
-    """The length and parity filters."""
-    n, m = F.col(f"{left}n"), F.col(f"{right}n")
-    apart = F.bit_count(F.col(f"{left}parity").bitwiseXOR(F.col(f"{right}parity")))
+def alike_enough(left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
+    """The length and parity filters; ``left`` and ``right`` give a set's columns by name."""
+    n, m = left("n"), right("n")
+    whole, half = (left(bits).bitwiseXOR(right(bits)) for bits in ("parity", "half"))
+    apart = F.coalesce(F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half)), F.bit_count(whole))
     return (apart * 9 <= n + m) & (F.least(n, m) * 5 >= F.greatest(n, m) * 4)
 
 
@@ -174,45 +181,62 @@ def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def prefix_rows(sets: DataFrame) -> DataFrame:
     """A row per set and link of its prefix; ``id`` may be that of the set's first line."""
     place = F.coalesce("id", F.lit(NO_ID)).alias("id")
-    return sets.select("set", place, "n", "parity", F.explode("prefix").alias("key"))
+    return sets.select("set", place, "n", "parity", "half", F.explode("prefix").alias("key"))
+
+
+def shared_links(rows: DataFrame) -> DataFrame:
+    """The links that several ``sets`` have, and of those of two sets the ones that pass the filters.
+
+    Most links have one set, so they are counted in hash tables before anything is sorted.
+    """
+    totals = rows.groupBy("key").agg(
+        F.count("*").alias("sets"),
+        F.count("half").alias("halves"),
+        F.sum("n").alias("words"),
+        F.min("n").alias("least"),
+        F.bit_xor("parity").alias("whole"),
+        F.bit_xor("half").alias("half"),
+        # All columns are read, so that the rows and their totals share one shuffle.
+        *[function(c).alias(f"{c}_{function.__name__}") for c in ("set", "id") for function in (F.min, F.max)],
+    )
+    both = F.bit_count("half") + F.bit_count(F.col("whole").bitwiseXOR(F.col("half")))
+    apart = F.when(F.col("halves") == 2, both).otherwise(F.bit_count("whole"))
+    alike = (apart * 9 <= F.col("words")) & (F.col("least") * 9 >= F.col("words") * 4)
+    some = (F.col("set_min") < F.col("set_max")) & (F.col("id_min") <= F.col("id_max"))
+    return totals.filter((F.col("sets") > 1) & some & ((F.col("sets") > 2) | alike)).select("key", "sets")
 
 
 def sharing_rows(rows: DataFrame) -> DataFrame:
     """The rows whose link several sets have, and the sets that they meet by it.
 
-    ``pivot`` is the earliest set with the link. ``others`` are those between it and the row,
-    where the sort has them all: ``many`` tells that it has not. Both hold only what passes the
-    filters. Rows that nothing of this concerns are left out.
+    ``pivot`` is the earliest set with the link. ``others`` are all those before the row, where
+    the sort has them: ``many`` tells that it has not. Both hold only what passes the filters.
+    Rows that nothing of this concerns are left out.
     """
     link = Window.partitionBy("key").orderBy("id", "set")
     whole = link.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shared = rows.withColumn("sets", F.count("*").over(whole)).filter("sets > 1")
-    shared = shared.withColumn("place", F.row_number().over(link)).withColumn("many", F.col("sets") > BEFORE + 2)
-    one = F.struct("id", "set", "n", "parity")
-    met = shared.withColumn("_first", F.first(one).over(whole))
-    for back in range(1, BEFORE + 1):
-        met = met.withColumn(f"_before{back}", F.lag(one, back).over(link))
-    pivot = F.when((F.col("place") > 1) & alike_enough("", "_first."), F.col("_first.set"))
-    others = [
-        F.when(
-            ~F.col("many") & (F.col("place") > back + 1) & alike_enough("", f"_before{back}."),
-            F.col(f"_before{back}"),
-        )
-        for back in range(1, BEFORE + 1)
-    ]
-    found = met.withColumn("pivot", pivot).withColumn("others", F.array_compact(F.array(*others)))
+    dealt = rows.repartition("key")
+    shared = dealt.join(shared_links(dealt).hint("shuffle_hash"), "key")
+    one = F.struct("id", "set", "n", "parity", "half")
+    met = shared.withColumn("many", F.col("sets") > BEFORE + 1).withColumn("_first", F.first(one).over(whole))
+    met = met.withColumn("_before", F.collect_list(one).over(link.rowsBetween(-BEFORE, -1)))
+    is_later = F.col("set") != F.col("_first.set")
+    pivot = F.when(is_later & alike_enough(F.col, lambda name: F.col(f"_first.{name}")), F.col("_first.set"))
+    others = F.filter("_before", lambda other: ~F.col("many") & alike_enough(F.col, lambda name: other[name]))
+    found = met.withColumn("pivot", pivot).withColumn("others", others)
     found = found.filter(F.col("many") | F.col("pivot").isNotNull() | (F.size("others") > 0))
     return found.select(*rows.columns, "many", "pivot", "others")
 
 
 def pairs_with_first(sharing: DataFrame) -> DataFrame:
-    """Pairs of a set and a pivot: at most one per link, whatever the size of a group of near copies."""
-    pairs = sharing.filter("pivot IS NOT NULL")
-    return pairs.select(F.col("set").alias("l_set"), F.col("pivot").alias("r_set")).distinct()
+    """Each set with the pivot of most of its links: one pair, whatever the size of a group of near copies."""
+    met = sharing.filter("pivot IS NOT NULL").groupBy("set", "pivot").agg(F.count("*").alias("c"))
+    best = met.groupBy("set").agg(F.max(F.struct("c", "pivot")).alias("best"))
+    return best.select(F.col("set").alias("l_set"), F.col("best.pivot").alias("r_set"))
 
 
 def pairs_with_others(sharing: DataFrame, closed: DataFrame) -> DataFrame:
-    """Pairs of sets that are no pivots, but those whose later set is closed."""
+    """All pairs of sets that pass the filters, but those whose later set is closed."""
     met = sharing.select("set", "id", "n", F.explode("others").alias("other"))
     pairs = met.select(
         # Either may be the later one if both ids are equal.
@@ -222,10 +246,9 @@ def pairs_with_others(sharing: DataFrame, closed: DataFrame) -> DataFrame:
         F.when(F.col("set") < F.col("other.set"), F.col("n")).otherwise(F.col("other.n")).alias("l_n"),
         F.when(F.col("set") < F.col("other.set"), F.col("other.n")).otherwise(F.col("n")).alias("r_n"),
     )
-    pairs = pairs.join(closed.withColumnRenamed("set", "later"), "later", "left_anti").drop("later")
-    joined = pairs_of_rows(sharing.filter("many").select("set", "id", "n", "parity", "key"), closed)
-    # Those that lack links here, because one of the two is a pivot there, have met as such.
-    return in_common(pairs.unionByName(joined))
+    pairs = pairs.join(closed.withColumnRenamed("set", "later"), "later", "left_anti")
+    rows = sharing.filter("many").select("set", "id", "n", "parity", "half", "key")
+    return in_common(pairs.unionByName(pairs_of_rows(rows, closed)))
 
 
 def enough_in_common() -> Column:
@@ -240,8 +263,8 @@ def enough_in_common() -> Column:
 
 def in_common(met: DataFrame) -> DataFrame:
     """The pairs that pass the count filter; ``met`` has a row per pair and link."""
-    counted = met.groupBy("l_set", "r_set", "l_n", "r_n").agg(F.count("*").alias("c"))
-    return counted.filter(enough_in_common()).select("l_set", "r_set")
+    counted = met.groupBy("l_set", "r_set", "l_n", "r_n").agg(F.count("*").alias("c"), F.first("later").alias("later"))
+    return counted.filter(enough_in_common()).select("l_set", "r_set", "later", "c")
 
 
 def pairs_of_rows(rows: DataFrame, closed: DataFrame) -> DataFrame:
@@ -252,17 +275,21 @@ def pairs_of_rows(rows: DataFrame, closed: DataFrame) -> DataFrame:
     later_open = ((F.col("l_id") <= F.col("r_id")) & F.col("r_open")) | (
         (F.col("r_id") <= F.col("l_id")) & F.col("l_open")
     )
+    alike = alike_enough(lambda name: F.col(f"l_{name}"), lambda name: F.col(f"r_{name}"))
     # All conditions read both sides, so that the sides stay the same and share their shuffle.
     met = left.join(
         right,
-        (F.col("l_key") == F.col("r_key")) & (F.col("l_set") < F.col("r_set")) & alike_enough() & later_open,
+        (F.col("l_key") == F.col("r_key")) & (F.col("l_set") < F.col("r_set")) & alike & later_open,
+    )
+    later = F.when(F.col("l_id") < F.col("r_id"), F.col("r_set")).when(
+        F.col("r_id") < F.col("l_id"), F.col("l_set")
     )
-    return met.select("l_set", "r_set", "l_n", "r_n")
+    return met.select(later.alias("later"), "l_set", "r_set", "l_n", "r_n")
 
 
 def pairs_by_prefix(sets: DataFrame, closed: DataFrame) -> DataFrame:
     """All pairs of sets that pass the filters, but those whose later set is closed."""
-    return in_common(pairs_of_rows(prefix_rows(sets), closed))
+    return in_common(pairs_of_rows(prefix_rows(sets), closed)).select("l_set", "r_set")
 
 
 def bitmap_of(hashes: DataFrame) -> DataFrame:
@@ -283,15 +310,11 @@ def may_be_in(lines: DataFrame, bitmap: DataFrame) -> DataFrame:
     return parts.filter(byte.bitwiseAND(mask) > 0).drop("part", "bits")
 
 
-def matched(
-    docs: DataFrame, sets: DataFrame, candidates: DataFrame, id_column: str, text_column: str
+def words_of(
+    docs: DataFrame, sets: DataFrame, pairs: DataFrame, id_column: str, text_column: str
 ) -> DataFrame:
-    """The later ``set`` of each pair that matches.
-
-    The words of the sets concerned come from the first line of each.
-    """
-    pairs = stored(candidates, "line-pairs")
-    ends = pairs.select(F.explode(F.array("l_set", "r_set")).alias("set")).distinct()
+    """The words of the sets in ``pairs``, which come from the first line of each."""
+    ends = pairs.select(F.col("l_set").alias("set")).union(pairs.select("r_set")).distinct()
     concerned = stored(sets.select("set", "n", "first").join(ends, "set", "left_semi"), "line-concerned")
     lines = lines_of(docs, id_column, text_column).withColumn("line_hash", F.xxhash64("line"))
     again = may_be_in(lines, bitmap_of(concerned.select("first.line_hash")))
@@ -299,7 +322,11 @@ def matched(
     # Several rows may have the place and line of one first.
     found = concerned.join(again, "first").dropDuplicates(["set"])
     spot = F.struct("first.id", "first.line_no").alias("spot")
-    words = stored(found.select("set", "n", spot, hashes_of(F.col("line")).alias("words")), "line-words")
+    return stored(found.select("set", "n", spot, hashes_of(F.col("line")).alias("words")), "line-words")
+
+
+def matched(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """The later ``set`` of each pair that matches."""
     left, right = sides(words)
     common = F.size(F.array_intersect("l_words", "r_words"))
     alike = (
@@ -313,6 +340,15 @@ def matched(
     return stored(later.distinct(), "line-matches")
 
 
+def matched_best_first(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """As ``matched``; of each later set first the pair with most links, the others only if that does not match."""
+    best = pairs.groupBy("later").agg(F.max(F.struct("c", "l_set", "r_set")).alias("best"))
+    by_best = matched(best.select("best.l_set", "best.r_set"), words)
+    # Without an earlier id there is no later set yet; those pairs stay.
+    others = pairs.join(by_best.withColumnRenamed("set", "later"), "later", "left_anti")
+    return by_best.union(matched(others.select("l_set", "r_set"), words))
+
+
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id``, ``line_no`` and ``reason`` (same or similar) of every line to remove."""
     # Each step stores its rows, so the files of its shuffles need not outlive it.
@@ -325,6 +361,7 @@ def found_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     grouped = lines.groupBy(*NAME).agg(
         F.min(F.struct("id", "line_no", "line_hash")).alias("first"),
         F.first("parity").alias("parity"),
+        F.first("half").alias("half"),
         F.first("prefix").alias("prefix"),
         F.count("*").alias("rows"),
     )
@@ -333,8 +370,10 @@ def found_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     part = F.col("key").bitwiseAND(PARTS - 1)
     parts = [stored(sharing_rows(links.filter(part == k)), "line-sharers") for k in range(PARTS)]
     sharing = functools.reduce(DataFrame.union, parts)
-    by_first = matched(docs, sets, pairs_with_first(sharing), id_column, text_column)
-    by_others = matched(docs, sets, pairs_with_others(sharing, by_first), id_column, text_column)
+    pairs = stored(pairs_with_first(sharing), "line-pairs")
+    by_first = matched(pairs, words_of(docs, sets, pairs, id_column, text_column))
+    pairs = stored(pairs_with_others(sharing, by_first), "line-pairs")
+    by_others = matched_best_first(pairs, words_of(docs, sets, pairs, id_column, text_column))
     later = by_first.union(by_others).distinct().withColumn("later", F.lit(True))
 
     known = sets.select("set", *NAME, "first", "rows").join(later, "set", "left")

@@ -336,6 +336,22 @@ def test_lines_need_no_counters_and_keep_no_shuffles(spark, monkeypatch):
     assert set(seen) == {"true"} and spark.conf.get(name, None) == before
 
 
+def test_lines_meet_one_earliest_line_first(spark):
+    met = spark.createDataFrame([(7, 2), (7, 1), (7, 1), (8, 2), (9, None)], "set long, pivot long")
+    assert {tuple(r) for r in line_dedup.pairs_with_first(met).collect()} == {(7, 1), (8, 2)}
+
+
+def test_long_lines_that_share_a_link_but_little_else_do_not_meet(spark):
+    rng = random.Random(5)
+    rare = "x" * 40 + " " + "y" * 40 + " "
+    lines = [(i, rare + " ".join(f"w{rng.randrange(10**9)}" for _ in range(160))) for i in range(10)]
+    lines.append((10, lines[3][1] + " end"))
+    docs = spark.createDataFrame(lines, "doc_id long, text string")
+    sets = line_sets(docs, "doc_id", "text").withColumn("set", F.col("id"))
+    met = line_dedup.sharing_rows(line_dedup.prefix_rows(sets)).collect()
+    assert {r.set for r in met} == {10} and {other.set for r in met for other in r.others} == {3}
+
+
 # HTML
 
 
