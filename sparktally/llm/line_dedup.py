@@ -53,7 +53,7 @@ PART_BITS = 15
 BEFORE = 16
 # Links are shuffled in so many parts, one after the other, a power of two: the files of one part
 # are gone before the next.
-PARTS = 4
+PARTS = 8
 # Sets of so many words have 128 bits of parity, smaller ones 64.
 LONG = 100
 # What names a set: 128 bits of its words' hashes and its size.
@@ -292,18 +292,18 @@ def pairs_by_prefix(sets: DataFrame, closed: DataFrame) -> DataFrame:
     return in_common(pairs_of_rows(prefix_rows(sets), closed)).select("l_set", "r_set")
 
 
-def bitmap_of(hashes: DataFrame) -> DataFrame:
-    """2^``BITMAP_BITS`` bits, one set for each line hash: parts of 4 KB, those without a bit left out."""
-    bit = F.col("line_hash").bitwiseAND((1 << BITMAP_BITS) - 1)
+def bitmap_of(hashes: DataFrame, name: str) -> DataFrame:
+    """2^``BITMAP_BITS`` bits, one set for each hash: parts of 4 KB, those without a bit left out."""
+    bit = F.col(name).bitwiseAND((1 << BITMAP_BITS) - 1)
     return hashes.groupBy(F.shiftright(bit, PART_BITS).alias("part")).agg(
         F.bitmap_construct_agg(bit.bitwiseAND((1 << PART_BITS) - 1)).alias("bits")
     )
 
 
-def may_be_in(lines: DataFrame, bitmap: DataFrame) -> DataFrame:
-    """The lines whose ``line_hash`` has its bit set."""
-    bit = F.col("line_hash").bitwiseAND((1 << BITMAP_BITS) - 1)
-    parts = lines.withColumn("part", F.shiftright(bit, PART_BITS)).join(F.broadcast(bitmap), "part")
+def may_be_in(rows: DataFrame, name: str, bitmap: DataFrame) -> DataFrame:
+    """The rows whose hash has its bit set."""
+    bit = F.col(name).bitwiseAND((1 << BITMAP_BITS) - 1)
+    parts = rows.withColumn("part", F.shiftright(bit, PART_BITS)).join(F.broadcast(bitmap), "part")
     place = F.shiftright(bit.bitwiseAND((1 << PART_BITS) - 1), 3).cast("int")
     byte = F.conv(F.hex(F.substring("bits", place + 1, F.lit(1))), 16, 10).cast("int")
     mask = F.call_function("shiftleft", F.lit(1), bit.bitwiseAND(7).cast("int"))
@@ -317,7 +317,7 @@ def words_of(
     ends = pairs.select(F.col("l_set").alias("set")).union(pairs.select("r_set")).distinct()
     concerned = stored(sets.select("set", "n", "first").join(ends, "set", "left_semi"), "line-concerned")
     lines = lines_of(docs, id_column, text_column).withColumn("line_hash", F.xxhash64("line"))
-    again = may_be_in(lines, bitmap_of(concerned.select("first.line_hash")))
+    again = may_be_in(lines, "line_hash", bitmap_of(concerned.select("first.line_hash"), "line_hash"))
     again = again.select(F.struct("id", "line_no", "line_hash").alias("first"), "line")
     # Several rows may have the place and line of one first.
     found = concerned.join(again, "first").dropDuplicates(["set"])
@@ -392,8 +392,11 @@ def found_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     alone = decided.filter("rows = 1").select(
         F.col("first_id").alias("id"), F.col("first_no").alias("line_no"), "similar"
     )
-    placed = lines.select("id", "line_no", F.struct(*NAME).alias("name"))
-    joined = attach(placed, decided.filter("rows > 1"), "name", "rows", lines.count())
+    several = decided.filter("rows > 1")
+    # Most lines are alone and need no shuffle.
+    placed = may_be_in(lines, "h1", bitmap_of(several.select("name.h1"), "h1"))
+    placed = stored(placed.select("id", "line_no", F.struct(*NAME).alias("name")), "line-repeats")
+    joined = attach(placed, several, "name", "rows", lines.count())
     is_first = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line_no") == F.col("first_no"))
     several = joined.filter(F.col("similar") | ~is_first).select("id", "line_no", "similar")
     return alone.union(several).select(
